@@ -49,3 +49,4 @@ def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def sql_list(words) -> str:
     return ", ".join("'" + w.replace("'", "''") + "'" for w in words)
+
