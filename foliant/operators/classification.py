@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from math import log
 
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
@@ -194,11 +195,10 @@ def fit_naive_bayes(
     classes, n = sorted(counts), sum(counts.values())
     joined = weights.join(encoded.select(id_col, "y_true"), id_col)
     per_class = [F.sum(F.when(F.col("y_true") == c, F.col("weight")).otherwise(0.0)).alias(f"c{c}") for c in classes]
-    sums = joined.groupBy("term").agg(*per_class)
-    # Every vocabulary term got its weight from these rows, so none is missing;
-    # the table is the fitted model and as small as the vocabulary.
-    rows = sums.collect()
-    totals = {c: sum(r[f"c{c}"] for r in rows) for c in classes}
+    # Every vocabulary term got its weight from these rows, so none is missing.
+    sums = durable(joined.groupBy("term").agg(*per_class))
+    mass = sums.agg(*[F.sum(f"c{c}").alias(f"c{c}") for c in classes]).first()
+    totals = {c: mass[f"c{c}"] for c in classes}
     table = durable(
         sums.select(
             "term",
@@ -210,8 +210,6 @@ def fit_naive_bayes(
             ).alias("likelihood"),
         )
     )
-    from math import log
-
     return NaiveBayesText(table, [log(counts[c] / n) for c in classes], classes)
 
 
@@ -219,7 +217,6 @@ def fit_naive_bayes(
 class Trained:
     model_type: str
     preds: DataFrame
-    classes: list = field(default_factory=list)
     model: Model | NaiveBayesText | None = None
     vocabulary: Vocabulary | None = None
 

@@ -2,7 +2,9 @@
 
 from foliant.registry import (  # noqa: F401
     cluster_queries,
+    file_queries,
     metric_queries,
+    model_queries,
     text_queries,
     vector_queries,
 )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +29,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     context.setCheckpointDir(folder)
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder next to the checkpoints, visible to every executor."""
+    ensure_checkpoint_dir(spark)
+    base = spark.sparkContext.getCheckpointDir().rstrip("/")
+    return f"{base}/scratch-{uuid.uuid4().hex}"
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Cut the lineage through reliable storage; survives losing executors."""
     ensure_checkpoint_dir(df.sparkSession)
