@@ -92,46 +92,73 @@ def entities(text: Column) -> Column:
     return F.map_filter(F.create_map(*pairs), lambda _, found: F.size(found) > 0)
 
 
+_MONTH_STARTS = "janfebmaraprmayjunjulaugsepoctnovdec"
+
+
+def _iso_date(year: Column, month: Column, day: Column) -> Column:
+    """ISO text of a valid calendar date, else null; plain arithmetic, because a
+    failing date parser costs an exception per value."""
+    leap = ((year % 4 == 0) & (year % 100 != 0)) | (year % 400 == 0)
+    last = (
+        F.when(month == 2, F.when(leap, 29).otherwise(28))
+        .when(month.isin(4, 6, 9, 11), 30)
+        .otherwise(31)
+    )
+    valid = (year >= 1) & month.between(1, 12) & (day >= 1) & (day <= last)
+    return F.when(
+        valid,
+        F.concat(
+            F.lpad(year.cast("string"), 4, "0"),
+            F.lit("-"),
+            F.lpad(month.cast("string"), 2, "0"),
+            F.lit("-"),
+            F.lpad(day.cast("string"), 2, "0"),
+            F.lit("T00:00:00"),
+        ),
+    )
+
+
 def _parse_date(name: str, found: Column) -> Column:
+    def number(start: int, length: int) -> Column:
+        return F.substring(found, start, length).cast("int")
+
     if name == "iso":
-        day = F.try_to_date(found, "yyyy-MM-dd")
-    elif name in ("slash", "dash"):
-        sep = "/" if name == "slash" else "-"
-        day = F.coalesce(
-            F.try_to_date(found, f"MM{sep}dd{sep}yyyy"),
-            F.try_to_date(found, f"dd{sep}MM{sep}yyyy"),
-        )
-    else:
-        parts = F.split(F.translate(found, ",", ""), " ")
-        month = F.initcap(F.substring(F.get(parts, 0), 1, 3))
-        day = F.try_to_date(
-            F.concat_ws(" ", month, F.get(parts, 1), F.get(parts, 2)), "MMM d yyyy"
-        )
-    return F.when(F.year(day) >= 1, day)
+        return _iso_date(number(1, 4), number(6, 2), number(9, 2))
+    if name in ("slash", "dash"):
+        # Month first; the other way round when that is no date.
+        first, second, year = number(1, 2), number(4, 2), number(7, 4)
+        return F.coalesce(_iso_date(year, first, second), _iso_date(year, second, first))
+    start = F.lower(F.substring(found, 1, 3))
+    month = ((F.instr(F.lit(_MONTH_STARTS), start) + 2) / 3).cast("int")
+    parts = F.split(found, " ")
+    day = F.replace(F.get(parts, F.lit(1)), F.lit(","), F.lit("")).cast("int")
+    return _iso_date(F.get(parts, F.lit(2)).cast("int"), month, day)
 
 
 def _dates_of(text: Column, name: str, pattern: str) -> Column:
     regex = rf"{_OPEN}{pattern}{_CLOSE}"
 
     def located(found: Column) -> Column:
-        # Pieces between matches and the matches interleave, so the running
-        # length of both gives every offset.
-        gaps = F.transform(F.split(text, regex, -1), lambda p: F.length(p))
+        # Matches become one mark each (marks already in the text are replaced
+        # first), so the pieces come from a plain one-character split. Pieces
+        # and matches interleave: their running length gives every offset.
+        marked = F.regexp_replace(F.replace(text, F.lit("\x01"), F.lit("\x02")), regex, "\x01")
+        gaps = F.transform(F.split(marked, "\x01", -1), lambda p: F.length(p))
+        return let(gaps, lambda g: F.filter(rows(found, g), lambda r: r["date"].isNotNull()))
+
+    def rows(found: Column, gaps: Column) -> Column:
         steps = F.zip_with(
             F.slice(gaps, 2, F.size(found)), found, lambda gap, m: gap + F.length(m)
         )
-        return let(
-            F.zip_with(
-                found,
-                prefix_sums(steps),
-                lambda m, before: F.struct(
-                    m.alias("text"),
-                    F.date_format(_parse_date(name, m), "yyyy-MM-dd'T'HH:mm:ss").alias("date"),
-                    (F.get(gaps, F.lit(0)) + before).alias("position"),
-                    F.lit(name).alias("format"),
-                ),
+        return F.zip_with(
+            found,
+            prefix_sums(steps),
+            lambda m, before: F.struct(
+                m.alias("text"),
+                _parse_date(name, m).alias("date"),
+                (F.get(gaps, F.lit(0)) + before).alias("position"),
+                F.lit(name).alias("format"),
             ),
-            lambda rows: F.filter(rows, lambda r: r["date"].isNotNull()),
         )
 
     # The common case, a text without dates, never reaches the offset work.
@@ -265,7 +292,7 @@ def keyword_counts(text: Column, top_n: int = 10) -> Column:
     """array<struct<token, n>> behind :func:`keywords`."""
     bare = F.regexp_replace(F.lower(text), r"\p{Punct}+", "")
     words = F.filter(
-        F.split(bare, rf"[{SPACE}]+"),
+        F.regexp_extract_all(bare, F.lit(rf"[^{SPACE}]+"), F.lit(0)),
         lambda w: (F.length(w) > 2) & ~w.isin(KEYWORD_STOPWORDS),
     )
     return top_tokens(words, top_n)

@@ -83,8 +83,7 @@ def raw_tokens(text: Column) -> Column:
 
 def word_tokens(text: Column) -> Column:
     """Tokens of text whose punctuation is already gone."""
-    tokens = F.split(split_fused(text), rf"[{SPACE}]+")
-    return F.filter(tokens, lambda t: t != "")
+    return F.regexp_extract_all(split_fused(text), F.lit(rf"[^{SPACE}]+"), F.lit(0))
 
 
 def normalized_tokens(
@@ -101,6 +100,7 @@ def normalized_tokens(
         # One regex pass instead of three: whatever is neither a letter, a
         # non-decimal number nor "_" ends up as a single space.
         cleaned = F.btrim(F.regexp_replace(cleaned, r"[^\p{L}\p{Nl}\p{No}_]+", " "))
+        tokens = F.filter(F.split(split_fused(cleaned), " "), lambda t: t != "")
     else:
         if remove_numbers:
             cleaned = remove_digits(cleaned)
@@ -108,7 +108,7 @@ def normalized_tokens(
             cleaned = remove_punctuation(cleaned)
         if remove_extra_spaces:
             cleaned = squeeze_spaces(cleaned)
-    tokens = word_tokens(cleaned) if strip_punctuation else raw_tokens(cleaned)
+        tokens = word_tokens(cleaned) if strip_punctuation else raw_tokens(cleaned)
     if stopwords:
         tokens = F.filter(tokens, lambda t: ~t.isin(list(stopwords)))
     return tokens

@@ -18,9 +18,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from foliant.functions.arrays import let
 from foliant.operators.joins import lookup
 from foliant.operators.metrics import classification_metrics
-from foliant.operators.ordered import class_ranks
+from foliant.operators.ordered import hash_parts
 from foliant.operators.vectors import Vocabulary, fit_vocabulary
 from foliant.session import durable
 
@@ -46,7 +47,7 @@ def label_table(labelled: DataFrame, label: str = "label") -> DataFrame:
 def encode_labels(labelled: DataFrame, label: str = "label") -> DataFrame:
     """Add ``y_true``, the index of the label among the sorted classes."""
     classes = label_table(labelled, label).select(F.col("label").alias(label), "y_true")
-    return lookup(labelled, classes, label)
+    return lookup(labelled, durable(classes), label)
 
 
 def split_quotas(encoded: DataFrame, test_size: float = 0.2) -> DataFrame:
@@ -80,16 +81,15 @@ def stratified_split(
 ) -> DataFrame:
     """Add ``split`` (train / test) with exact class quotas.
 
-    The held-out rows of a class are the first in a seeded hash order; the rank
-    comes from ``class_ranks``, which never sorts a class in one task.
+    The held-out rows of a class are the first in a seeded hash order.
     """
-    quotas = split_quotas(encoded, test_size).select(
-        "y_true", (F.col("n") - F.col("train")).alias("held")
-    )
-    ranked = class_ranks(encoded, "y_true", id_col, seed)
-    return lookup(ranked, quotas, "y_true").select(
-        *encoded.columns, F.when(F.col("rank") < F.col("held"), "test").otherwise("train").alias("split")
+    cuts = split_quotas(encoded, test_size).select(
+        "y_true", F.array(F.col("n") - F.col("train")).alias("cuts")
     )
+    parts = hash_parts(encoded, durable(cuts), "y_true", id_col, seed)
+    return parts.withColumn(
+        "split", F.when(F.col("part") == 0, "test").otherwise("train")
+    ).drop("part")
 
 
 def class_distribution(split: DataFrame) -> DataFrame:
@@ -106,9 +106,16 @@ def class_distribution(split: DataFrame) -> DataFrame:
 def fold_ids(
     encoded: DataFrame, folds: int = 5, seed: int = 42, *, id_col: str = "doc_id"
 ) -> DataFrame:
-    """Add ``fold`` 0 .. folds-1: every class is dealt out in a seeded order."""
-    ranked = class_ranks(encoded, "y_true", id_col, seed)
-    return ranked.select(*encoded.columns, (F.col("rank") % folds).cast("int").alias("fold"))
+    """Add ``fold`` 0 .. folds-1: every class is cut evenly along a seeded order."""
+    size, rest = F.floor(F.col("n") / folds), F.col("n") % folds
+    ends = [F.lit(i) * size + F.least(rest, F.lit(i)) for i in range(1, folds)]
+    cuts = (
+        encoded.groupBy("y_true")
+        .agg(F.count("*").alias("n"))
+        .select("y_true", F.array(*ends).alias("cuts"))
+    )
+    parts = hash_parts(encoded, durable(cuts), "y_true", id_col, seed)
+    return parts.withColumnRenamed("part", "fold")
 
 
 def make_estimator(model_type: str, n_rows: int, n_classes: int, **options) -> Estimator:
@@ -142,13 +149,18 @@ def _several(binary, n_classes: int) -> Estimator:
     )
 
 
+def _shares(values: Column) -> Column:
+    """Values divided by their sum."""
+    total = F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x)
+    return let(total, lambda t: F.transform(values, lambda x: x / t))
+
+
 def _probabilities(scored: DataFrame) -> Column:
     if "probability" in scored.columns:
         return vector_to_array("probability")
     # Margins: a logistic curve per class, scaled to sum 1. Not calibrated.
     curve = F.transform(vector_to_array("rawPrediction"), lambda m: 1 / (1 + F.exp(-m)))
-    total = F.aggregate(curve, F.lit(0.0), lambda acc, x: acc + x)
-    return F.transform(curve, lambda x: x / total)
+    return let(curve, _shares)
 
 
 @dataclass
@@ -177,13 +189,14 @@ class NaiveBayesText:
             ]
         )
         rows = ids.select(id_col).join(scored, id_col, "left").select(id_col, scores.alias("s"))
-        shifted = F.transform("s", lambda x: F.exp(x - F.array_max("s")))
-        total = F.aggregate("e", F.lit(0.0), lambda acc, x: acc + x)
         best = F.array_position("s", F.array_max("s")).cast("int")
-        return rows.withColumn("e", shifted).select(
+        relative = let(
+            F.array_max("s"), lambda top: F.transform("s", lambda x: F.exp(x - top))
+        )
+        return rows.select(
             id_col,
             F.get(F.array(*[F.lit(c) for c in self.classes]), best - 1).alias("y_pred"),
-            F.transform("e", lambda x: x / total).alias("prob"),
+            let(relative, _shares).alias("prob"),
         )
 
 
@@ -217,7 +230,7 @@ def fit_naive_bayes(
 class Trained:
     model_type: str
     preds: DataFrame
-    model: Model | NaiveBayesText | None = None
+    model: Model | NaiveBayesText
     vocabulary: Vocabulary | None = None
 
     @property
@@ -225,51 +238,65 @@ class Trained:
         return classification_metrics(self.preds)
 
 
-def vectorize_split(split: DataFrame, *, text: str = "text", vocabulary: Vocabulary | None = None):
-    """Fit the plain TF-IDF on the training rows; add ``features`` to all rows."""
-    train = split.filter("split = 'train'")
-    model = vocabulary or fit_vocabulary(train, text=text)
-    return model, model.tfidf_vectors(split, text=text)
+def vectorize_split(
+    split: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    text: str = "text",
+    vocabulary: Vocabulary | None = None,
+) -> tuple[Vocabulary, DataFrame]:
+    """Fit the plain TF-IDF on the training rows: vocabulary, slim vectors.
+
+    The vectors keep id, y_true, split and ``features`` but not the text, so
+    they can be cached for many fits.
+    """
+    model = vocabulary or fit_vocabulary(split.filter("split = 'train'"), text=text)
+    vectors = model.tfidf_vectors(split.select(id_col, "y_true", "split", text), text=text)
+    return model, vectors.drop(text)
 
 
 def train(
     vectors: DataFrame,
     model_type: str = "random_forest",
     *,
-    vocabulary: Vocabulary,
+    vocabulary: Vocabulary | None = None,
+    documents: DataFrame | None = None,
     id_col: str = "doc_id",
     text: str = "text",
     **options,
 ) -> Trained:
     """Fit one model on the train rows and predict the test rows.
 
-    ``vectors`` comes from :func:`vectorize_split` and can be shared by many
-    models. The result's ``preds`` has model, row_id, y_true, y_pred, prob.
+    ``vectors`` comes from :func:`vectorize_split`. Naive Bayes works on the
+    long term weights and also needs the vocabulary and the split documents.
+    The result's ``preds`` has model, row_id, y_true, y_pred, prob.
     """
-    fit_rows, held = vectors.filter("split = 'train'"), vectors.filter("split = 'test'")
     if model_type == "naive_bayes":
+        if vocabulary is None or documents is None:
+            raise ValueError("naive_bayes needs the vocabulary and the documents")
+        fit_rows, held = documents.filter("split = 'train'"), documents.filter("split = 'test'")
         weights = vocabulary.weights(fit_rows, id_col=id_col, text=text)
-        bayes = fit_naive_bayes(weights, fit_rows, vocabulary, id_col=id_col)
-        test_weights = vocabulary.weights(held, id_col=id_col, text=text)
-        found = bayes.predict(test_weights, held, id_col=id_col)
+        model = fit_naive_bayes(weights, fit_rows, vocabulary, id_col=id_col)
+        held_weights = vocabulary.weights(held, id_col=id_col, text=text)
+        found = model.predict(held_weights, held, id_col=id_col)
         scored = held.select(id_col, "y_true").join(found, id_col)
-        model = bayes
     else:
-        stats = fit_rows.agg(
-            F.count("*").alias("n"), F.max("y_true").alias("top")
-        ).first()
+        fit_rows, held = vectors.filter("split = 'train'"), vectors.filter("split = 'test'")
+        stats = fit_rows.agg(F.count("*").alias("n"), F.max("y_true").alias("top")).first()
         estimator = make_estimator(model_type, stats["n"], (stats["top"] or 0) + 1, **options)
         numeric = F.col("y_true").cast("double").alias("label")
         model = estimator.fit(fit_rows.select("features", numeric))
         done = model.transform(held)
         scored = done.select(
-            id_col, "y_true", F.col("prediction").cast("int").alias("y_pred"),
+            id_col,
+            "y_true",
+            F.col("prediction").cast("int").alias("y_pred"),
             _probabilities(done).alias("prob"),
         )
     preds = scored.select(
         F.lit(model_type).alias("model"), F.col(id_col).alias("row_id"), "y_true", "y_pred", "prob"
     )
-    return Trained(model_type, preds, model=model, vocabulary=vocabulary)
+    return Trained(model_type, preds, model, vocabulary)
 
 
 def cross_validate(
@@ -297,11 +324,9 @@ def cross_validate(
         split = dealt.withColumn(
             "split", F.when(F.col("fold") == fold, "test").otherwise("train")
         )
-        vocabulary, vectors = vectorize_split(split, text=text, vocabulary=shared)
+        _, vectors = vectorize_split(split, id_col=id_col, text=text, vocabulary=shared)
         vectors.persist()
-        trained = train(
-            vectors, model_type, vocabulary=vocabulary, id_col=id_col, text=text, **options
-        )
+        trained = train(vectors, model_type, id_col=id_col, **options)
         score = durable(
             trained.metrics.select(
                 "model", F.lit(fold).alias("fold"), F.col("f1_weighted").alias("score")
@@ -332,13 +357,18 @@ def compare_models(
     spark = labelled.sparkSession
     encoded = encode_labels(labelled.select(id_col, text, label), label)
     split = durable(stratified_split(encoded, test_size, seed, id_col=id_col))
-    vocabulary, vectors = vectorize_split(split, text=text)
+    vocabulary, vectors = vectorize_split(split, id_col=id_col, text=text)
     vectors.persist()
     results, preds = None, None
     for order, name in enumerate(models):
         try:
             trained = train(
-                vectors, name, vocabulary=vocabulary, id_col=id_col, text=text,
+                vectors,
+                name,
+                vocabulary=vocabulary,
+                documents=split,
+                id_col=id_col,
+                text=text,
                 **(options or {}).get(name, {}),
             )
             rows = durable(trained.preds)

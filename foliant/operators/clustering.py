@@ -21,6 +21,8 @@ from foliant.session import durable
 
 NOISE = -1
 REDUCE_ABOVE = 50
+# Vector components of a table that may be broadcast (64 MB of doubles).
+BROADCAST_VALUES = 8_000_000
 
 
 def _points(df: DataFrame, id_col: str, col: str) -> DataFrame:
@@ -78,7 +80,7 @@ def lloyd_step(
 ) -> DataFrame:
     """Centers after one assignment: cluster, center."""
     assigned = assign_to_centers(df, centers, id_col=id_col, col=col)
-    return centroids(df.join(assigned, id_col), col=col).select("cluster", "center")
+    return centroids(df.select(id_col, col).join(assigned, id_col), col=col).select("cluster", "center")
 
 
 def centroids(df: DataFrame, *, col: str = "embedding", cluster: str = "cluster") -> DataFrame:
@@ -155,7 +157,7 @@ def dbscan(
     core_label = components.select(F.col("node").alias("id"), F.col("component").alias("label"))
     labelled = durable(
         flagged.join(core_label, "id", "left").select(
-            "id", "vec", F.coalesce("label", F.lit(0)).alias("label"), "core"
+            "id", "vec", "weight", F.coalesce("label", F.lit(0)).alias("label"), "core"
         )
     )
 
@@ -184,16 +186,21 @@ def dbscan(
         .groupBy("id")
         .agg(F.min("label").alias("found"))
     )
-    settled = labelled.join(border, "id", "left").select(
-        "vec", F.when(F.col("core"), F.col("label")).otherwise(F.col("found")).alias("label")
+    label = F.when(F.col("core"), F.col("label")).otherwise(F.col("found"))
+    settled = labelled.join(border, "id", "left").select("id", "vec", "weight", label.alias("label"))
+    numbers = durable(number_labels(core_label.select("label").distinct()))
+    clustered = lookup(settled.filter("label is not null"), numbers, "label").drop("label")
+    noise = settled.filter("label is null").select(
+        "id", "vec", "weight", F.lit(NOISE).alias("cluster")
     )
-    numbers = number_labels(core_label.select("label").distinct())
-    clustered = lookup(settled.filter("label is not null"), numbers, "label").select(
-        "vec", "cluster"
-    )
-    noise = settled.filter("label is null").select("vec", F.lit(NOISE).alias("cluster"))
-    final = lookup(points, durable(clustered.unionByName(noise)), "vec")
-    return final.select(F.col("id").alias(id_col), "cluster")
+    final = durable(clustered.unionByName(noise))
+    # Most points stand for themselves; only further copies are matched by value.
+    copies = points.join(final.select("id"), "id", "left_anti")
+    originals = final.filter("weight > 1").select("vec", "cluster")
+    width = points.select(F.size("vec").alias("d")).first()["d"]
+    matched = lookup(copies, originals, "vec", max_rows=max(1000, BROADCAST_VALUES // width))
+    result = final.select("id", "cluster").unionByName(matched.select("id", "cluster"))
+    return result.withColumnRenamed("id", id_col)
 
 
 def number_labels(labels: DataFrame) -> DataFrame:

@@ -8,6 +8,9 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from foliant.operators.joins import lookup
+from foliant.session import durable
+
 BUCKETS = 512
 
 
@@ -54,26 +57,51 @@ def running_totals(
     )
 
 
-def class_ranks(
-    df: DataFrame, group: str, id_col: str, seed: int, buckets: int = 4096
+_HASH_BITS = 63
+
+
+def hash_parts(
+    df: DataFrame, cuts: DataFrame, group: str, id_col: str, seed: int, buckets: int = 4096
 ) -> DataFrame:
-    """Add ``rank``: exact 0-based position of each row in its class, in a seeded
-    shuffled order.
+    """Add ``part``: cut every group at exact ranks of a seeded hash order.
 
-    The order is that of ``(hash, id)``. Hash ranges are counted first, so the
-    sort only ever sees one range of one class, however large the class is.
+    ``cuts`` has one row per group with ``cuts``, an array of row counts; part 0
+    is the first cuts[0] rows, part 1 the rows up to cuts[1], and so on. Only
+    the ids are counted and, within one hash bucket per cut, sorted: the result
+    is a comparison with a few cut values, so wide rows are never shuffled.
     """
-    hashed = df.withColumn("_hash", F.xxhash64(F.col(id_col), F.lit(seed))).withColumn(
-        "_bucket", F.shiftrightunsigned("_hash", 64 - (buckets.bit_length() - 1))
+    shift = _HASH_BITS - (buckets.bit_length() - 1)
+    position = F.xxhash64(F.col(id_col), F.lit(seed)).bitwiseAND(F.lit((1 << _HASH_BITS) - 1))
+    narrow = df.select(group, F.col(id_col).alias("_id"), position.alias("_hash")).withColumn(
+        "_bucket", F.shiftright("_hash", shift)
     )
-    keys = [group, "_bucket"]
-    counts = hashed.groupBy(*keys).agg(F.count("*").alias("_n"))
+    counts = narrow.groupBy(group, "_bucket").agg(F.count("*").alias("_n"))
     before = Window.partitionBy(group).orderBy("_bucket").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    offsets = counts.select(*keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    inside = Window.partitionBy(*keys).orderBy("_hash", id_col)
-    local = hashed.withColumn("_in", F.row_number().over(inside) - 1)
-    return local.join(offsets, keys).select(
-        *df.columns, (F.col("_in") + F.col("_off")).alias("rank")
+    offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    wanted = cuts.select(group, F.posexplode("cuts").alias("_no", "_cut"))
+    # The bucket a cut falls in, and the rank of its last row in there.
+    inside = (F.col("_cut") > F.col("_off")) & (F.col("_cut") <= F.col("_off") + F.col("_n"))
+    marks = durable(
+        offsets.join(F.broadcast(wanted), group)
+        .filter(inside)
+        .select(group, "_bucket", "_no", (F.col("_cut") - F.col("_off")).alias("_rank"))
+    )
+    touched = F.broadcast(marks.select(group, "_bucket").distinct())
+    in_bucket = Window.partitionBy(group, "_bucket").orderBy("_hash", "_id")
+    ranked = narrow.join(touched, [group, "_bucket"]).withColumn(
+        "_rank", F.row_number().over(in_bucket).cast("long")
+    )
+    edges = ranked.join(F.broadcast(marks), [group, "_bucket", "_rank"]).groupBy(group).agg(
+        F.collect_list(F.struct("_hash", "_id")).alias("_edges")
+    )
+    empty = F.size(F.filter("cuts", lambda c: c <= 0))
+    table = durable(
+        cuts.select(group, empty.alias("_empty")).join(edges, group, "left")
+    )
+    own = F.struct(position.alias("_hash"), F.col(id_col).alias("_id"))
+    passed = F.coalesce(F.size(F.filter("_edges", lambda e: own > e)), F.lit(0))
+    return lookup(df, table, group).select(
+        *df.columns, (F.col("_empty") + passed).alias("part")
     )

@@ -16,7 +16,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliant.functions.arrays import ngrams, token_counts
+from foliant.functions.arrays import let, ngrams, token_counts
 from foliant.functions.text import ENGLISH_STOPWORDS, WORD
 
 MAX_FEATURES = 5000
@@ -73,15 +73,15 @@ class Vocabulary:
             .agg(F.collect_list(F.struct("term", "index", "tf", raw.alias("raw"))).alias("terms"))
         )
         norm = F.sqrt(F.aggregate("terms", F.lit(0.0), lambda acc, t: acc + t["raw"] * t["raw"]))
-        return per_doc.withColumn("norm", norm).select(
-            id_col,
-            F.transform(
+        # Bound once per row: inlined into the lambda it would be computed per term.
+        scaled = let(
+            norm,
+            lambda n: F.transform(
                 "terms",
-                lambda t: F.struct(
-                    t["term"], t["index"], t["tf"], (t["raw"] / F.col("norm")).alias("weight")
-                ),
-            ).alias("terms"),
+                lambda t: F.struct(t["term"], t["index"], t["tf"], (t["raw"] / n).alias("weight")),
+            ),
         )
+        return per_doc.select(id_col, scaled.alias("terms"))
 
     def weights(self, docs: DataFrame, *, id_col: str = "doc_id", text: str = "text") -> DataFrame:
         """Long TF-IDF: id, term, index, tf, weight."""

@@ -9,6 +9,7 @@ from foliant.functions import text as T
 from foliant.operators.cleaning import prepare_corpus
 from foliant.operators.reduction import svd
 from foliant.operators.vectors import fit_counts, fit_tfidf
+from foliant.session import durable
 
 SVD_COMPONENTS = 50
 
@@ -19,7 +20,8 @@ def document_features(documents: DataFrame) -> DataFrame:
     Statistics cover every document, vectors only the prepared ones; the rest
     keeps null vectors.
     """
-    prepared = prepare_corpus(documents).select("doc_id", "prepared")
+    # Cleaned once; fitting and transforming read the stored text.
+    prepared = durable(prepare_corpus(documents).select("doc_id", "prepared"))
     tfidf, counts = fit_tfidf(prepared, text="prepared"), fit_counts(prepared, text="prepared")
     vectors = counts.count_vectors(
         tfidf.tfidf_vectors(prepared, text="prepared", output="tfidf"), text="prepared"

@@ -75,7 +75,10 @@ def fold_sizes(spark, sf_dir):
 def trained(spark, sf_dir, model_type, **options):
     split = K.stratified_split(encoded(spark, sf_dir))
     vocabulary, vectors = K.vectorize_split(split)
-    return K.train(vectors.persist(), model_type, vocabulary=vocabulary, **options).preds
+    trained = K.train(
+        vectors.persist(), model_type, vocabulary=vocabulary, documents=split, **options
+    )
+    return trained.preds
 
 
 def model_query(name, model_type, **options):

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliant.registry.base import table
+from foliant.registry.base import table, texts
 
 _MONTHS = "January February March April May June July August September October November December"
 
 
 def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, text: one report per order with sections, dates, amounts and a table."""
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")
+    orders = texts(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")
     items = (
         table(spark, sf_dir, "lineitem")
         .groupBy(F.col("l_orderkey").alias("o_orderkey"))

@@ -43,6 +43,17 @@ def test_split_is_exact_and_stable(encoded):
     assert split.exceptAll(other).count() > 0
 
 
+def test_cuts_are_exact_in_one_bucket_and_in_many(spark):
+    from foliant.operators.ordered import hash_parts
+
+    df = spark.range(1000).selectExpr("id", "cast(id % 3 = 0 as int) as g")
+    cuts = spark.createDataFrame([(0, [0, 5, 666]), (1, [100, 100, 334])], "g int, cuts array<long>")
+    for buckets in (2, 64, 4096):
+        got = hash_parts(df, cuts, "g", "id", 1, buckets).groupBy("g", "part").count().collect()
+        assert {(r.g, r.part): r["count"] for r in got} == {
+            (0, 1): 5, (0, 2): 661, (1, 0): 100, (1, 2): 234}
+
+
 def test_folds_are_balanced(encoded):
     sizes = C.fold_ids(encoded, 5).groupBy("y_true", "fold").count().collect()
     for c in range(3):
@@ -61,7 +72,7 @@ def test_folds_are_balanced(encoded):
 def test_models_learn(encoded, name, options):
     split = C.stratified_split(encoded, 0.2)
     vocabulary, vectors = C.vectorize_split(split)
-    trained = C.train(vectors, name, vocabulary=vocabulary, **options)
+    trained = C.train(vectors, name, vocabulary=vocabulary, documents=split, **options)
     row = trained.metrics.first()
     assert row.model == name and row.accuracy > 0.8
     probs = [r.prob for r in trained.preds.collect()]
