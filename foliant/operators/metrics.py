@@ -172,59 +172,41 @@ def roc_auc(preds: DataFrame) -> DataFrame:
     one-vs-rest and one-vs-one macro means. A model with a single true class
     yields no row.
     """
-    labels = [r[0] for r in preds.select("y_true").distinct().orderBy("y_true").collect()]
-    names = [f"n_{t}" for t in labels]
-    long = preds.select("model", "y_true", F.posexplode("prob").alias("label", "score")).filter(
-        F.col("label").isin(labels)
-    )
-    # One row per class and distinct score, with the count of each true class.
-    counts = long.groupBy("model", "label", "score").agg(
-        *[F.count_if(F.col("y_true") == t).alias(c) for t, c in zip(labels, names, strict=True)]
-    )
-    ranked = running_totals(counts, ["model", "label"], "score", names)
-
-    def won(own: str, other: str) -> Column:
-        below = F.col(f"cum_{other}") - F.col(other) / 2
-        return F.col(own) * below
-
-    sums = ranked.groupBy("model", "label").agg(
-        *[F.sum(c).alias(c) for c in names],
-        *[
-            F.sum(won(own, other)).alias(f"won_{own}_{other}")
-            for own in names
-            for other in names
-            if own != other
-        ],
-    )
-    pairs = []
-    for t, own in zip(labels, names, strict=True):
-        for other in names:
-            if other != own:
-                pairs.append(
-                    F.when(
-                        F.col("label") == t,
-                        F.struct(
-                            F.col(own).cast("double").alias("p"),
-                            F.col(other).cast("double").alias("n"),
-                            F.col(f"won_{own}_{other}").cast("double").alias("won"),
-                        ),
-                    )
-                )
-    if not pairs:
-        return preds.sparkSession.createDataFrame([], "model string, roc_auc double, roc_auc_ovr double, roc_auc_ovo double")
-    rows = sums.select(
-        "model", "label", F.inline(F.array_compact(F.array(*pairs)))
-    ).filter((F.col("p") > 0) & (F.col("n") > 0))
-    per_label = rows.groupBy("model", "label").agg(
+    labels = preds.groupBy("model").agg(F.collect_set("y_true").alias("labels"))
+    scores = preds.join(F.broadcast(labels), "model").select(
+        "model", "y_true", "labels", F.posexplode("prob").alias("label", "score")
+    )
+    # One duel per ordered class pair: a positive row meets every other class,
+    # a negative row only its own.
+    hit = F.col("y_true") == F.col("label")
+    others = F.array_except("labels", F.array("label"))
+    duels = scores.filter(F.array_contains("labels", F.col("label"))).select(
+        "model",
+        "label",
+        "score",
+        hit.alias("hit"),
+        F.explode(F.when(hit, others).otherwise(F.array("y_true"))).alias("other"),
+    )
+    counts = duels.groupBy("model", "label", "other", "score").agg(
+        F.count_if("hit").alias("pos"), F.count_if(~F.col("hit")).alias("neg")
+    )
+    ranked = running_totals(counts, ["model", "label", "other"], "score", ["neg"])
+    pairs = ranked.groupBy("model", "label", "other").agg(
+        F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") / 2)).alias("won"),
+        F.sum("pos").alias("p"),
+        F.sum("neg").alias("n"),
+    )
+    # Wins add up over the opponents, so one-vs-rest needs no second ranking.
+    per_label = pairs.groupBy("model", "label").agg(
         (F.sum("won") / F.max("p") / F.sum("n")).alias("ovr"),
-        F.sum(F.col("won") / F.col("p") / F.col("n")).alias("ovo_sum"),
+        F.sum(F.col("won") / F.col("p") / F.col("n")).alias("ovo"),
         F.count("*").alias("opponents"),
     )
     several = F.count("*") > 2
     return per_label.groupBy("model").agg(
         F.when(~several, F.max_by("ovr", "label")).alias("roc_auc"),
         F.when(several, F.avg("ovr")).alias("roc_auc_ovr"),
-        F.when(several, F.sum("ovo_sum") / F.sum("opponents")).alias("roc_auc_ovo"),
+        F.when(several, F.sum("ovo") / F.sum("opponents")).alias("roc_auc_ovo"),
     )
 
 

@@ -20,7 +20,7 @@ def range_buckets(df: DataFrame, order: str, buckets: int = BUCKETS) -> DataFram
     found = df.agg(
         F.percentile_approx(F.col(order).cast("double"), share, buckets * 20).alias("s")
     ).first()["s"]
-    splits = [float("-inf"), *sorted(set(found or [])), float("inf")]
+    splits = [float("-inf"), *sorted(set(found or [0.0])), float("inf")]
     return (
         Bucketizer(splits=splits, inputCol="_order", outputCol="_bucket")
         .transform(df.withColumn("_order", F.col(order).cast("double")))
