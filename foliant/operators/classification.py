@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from foliant.functions.arrays import let
 from foliant.operators.joins import lookup
-from foliant.operators.metrics import classification_metrics
+from foliant.operators.metrics import bin_counts, classification_metrics
 from foliant.operators.ordered import hash_parts
 from foliant.operators.vectors import Vocabulary, fit_vocabulary
 from foliant.session import durable
@@ -95,12 +95,7 @@ def stratified_split(
 def class_distribution(split: DataFrame) -> DataFrame:
     """Rows per split and class 0 .. max, zeros included."""
     counts = split.groupBy("split", "y_true").agg(F.count("*").alias("n"))
-    grid = counts.groupBy("split").agg(F.max("y_true").alias("top")).select(
-        "split", F.explode(F.sequence(F.lit(0), "top")).alias("y_true")
-    )
-    return grid.join(counts, ["split", "y_true"], "left").withColumn(
-        "n", F.coalesce("n", F.lit(0))
-    )
+    return bin_counts(counts, ["split"], "y_true")
 
 
 def fold_ids(

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foliant.functions import text as T
-from foliant.session import broadcast_if_small
+from foliant.operators.joins import lookup
+from foliant.session import durable
 
 
 def prepare_corpus(
@@ -44,14 +45,14 @@ def clean_documents(
     """Clean with a lemma table (surface, lemma) of any size: id, cleaned_text.
 
     The dictionary is broadcast when its row count is proven small; otherwise
-    the join shuffles and frequent words are left to adaptive skew handling.
+    the join shuffles, frequent words aside, see ``joins.lookup``.
     """
     words = stopwords if stopwords is not None else T.stopwords_for()
     tokens = T.normalized_tokens(F.col(text), stopwords=words)
     exploded = documents.select(id_col, F.posexplode_outer(tokens).alias("pos", "surface"))
-    table = lemmas.groupBy("surface").agg(F.min("lemma").alias("lemma"))
+    table = durable(lemmas.groupBy("surface").agg(F.min("lemma").alias("lemma")))
     kept = F.coalesce("lemma", "surface")
-    joined = exploded.join(broadcast_if_small(table), "surface", "left").select(
+    joined = lookup(exploded, table, "surface", "left").select(
         id_col,
         F.when(F.length(kept) >= min_word_length, F.struct("pos", kept.alias("token"))).alias(
             "item"

@@ -264,6 +264,7 @@ def compare_clusterings(
     *,
     id_col: str = "id",
     col: str = "embedding",
+    exact_silhouette: bool = True,
     **options,
 ) -> DataFrame:
     """One score row per method; a failing method becomes a row with its error."""
@@ -273,7 +274,11 @@ def compare_clusterings(
     for method in methods:
         try:
             clustered = cluster_documents(df, method, id_col=id_col, col=col, **options)
-            scores = durable(internal_scores(clustered, id_col=id_col, col=col))
+            scores = durable(
+                internal_scores(
+                    durable(clustered), id_col=id_col, col=col, exact_silhouette=exact_silhouette
+                )
+            )
             row = scores.select(
                 F.lit(method).alias("method"), "*", F.lit(None).cast("string").alias("error")
             )

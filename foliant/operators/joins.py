@@ -14,24 +14,27 @@ def lookup(
     left: DataFrame,
     right: DataFrame,
     key: str,
+    how: str = "inner",
     max_rows: int = BROADCAST_ROWS,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Inner join with a table that has one row per ``key``.
+    """Join (inner or left) with a table that has one row per ``key``.
 
     A proven-small table is broadcast. Otherwise only the keys that are hot on
     the left (at most ``max_rows`` of them by choice of the threshold) are
     broadcast and the rest is shuffled, so no task receives a hot key whole.
+    ``right`` is read more than once: hand in a stored one.
     """
     if right.limit(max_rows + 1).count() <= max_rows:
-        return left.join(F.broadcast(right), key)
+        return left.join(F.broadcast(right), key, how)
     counts = left.groupBy(key).agg(F.count("*").alias("_n"))
     total = counts.agg(F.sum("_n")).first()[0] or 0
     threshold = max(hot_rows, total // max_rows)
-    hot = counts.filter(F.col("_n") > threshold).select(key)
-    hot_rows_right = F.broadcast(right.join(hot, key, "left_semi"))
-    cold = left.join(F.broadcast(hot), key, "left_anti").join(right, key)
-    return left.join(hot_rows_right, key).unionByName(cold)
+    hot = F.broadcast(counts.filter(F.col("_n") > threshold).select(key))
+    hot_right = F.broadcast(right.join(hot, key, "left_semi"))
+    hot_part = left.join(hot, key, "left_semi").join(hot_right, key, how)
+    cold_part = left.join(hot, key, "left_anti").join(right, key, how)
+    return hot_part.unionByName(cold_part)
 
 
 def unmatched(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

@@ -148,12 +148,18 @@ def distributions(preds: DataFrame) -> DataFrame:
         ),
     )
     counts = sides.groupBy("model", "kind", "label").agg(F.sum("n").alias("n"))
-    grid = counts.groupBy("model", "kind").agg(F.max("label").alias("top")).select(
-        "model", "kind", F.explode(F.sequence(F.lit(0), "top")).alias("label")
-    )
-    return grid.join(counts, ["model", "kind", "label"], "left").withColumn(
-        "n", F.coalesce("n", F.lit(0))
+    return bin_counts(counts, ["model", "kind"], "label")
+
+
+def bin_counts(counts: DataFrame, keys: list[str], label: str) -> DataFrame:
+    """Fill (keys, label, n) up with zero rows for the missing labels 0 .. max."""
+    known = counts.groupBy(*keys).agg(
+        F.max(label).alias("_top"),
+        F.map_from_entries(F.collect_list(F.struct(label, "n"))).alias("_n"),
     )
+    filled = known.select(*keys, "_n", F.explode(F.sequence(F.lit(0), "_top")).alias(label))
+    count = F.coalesce(F.try_element_at("_n", F.col(label)), F.lit(0))
+    return filled.select(*keys, label, count.alias("n"))
 
 
 def _curve_counts(preds: DataFrame) -> DataFrame:

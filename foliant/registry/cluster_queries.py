@@ -201,6 +201,21 @@ def silhouette(spark, sf_dir):
     return rounded(Q.silhouette_score(noisy(spark, sf_dir)))
 
 
+SQUARED_SQL = silhouette_sql("noisy").replace("sum(list_distance(", "sum(pow(list_distance(").replace(
+    "b.embedding::DOUBLE[])) AS total", "b.embedding::DOUBLE[]), 2)) AS total"
+)
+
+
+@query(
+    "E7_silhouette_squared",
+    f"WITH {NOISY_SQL}, {SQUARED_SQL} SELECT round(avg(silhouette), 6) AS silhouette_score FROM samples",
+)
+def silhouette_squared(spark, sf_dir):
+    points = noisy(spark, sf_dir)
+    score = Q.silhouette_squared(points)
+    return points.agg(F.round(F.max(F.lit(score)), 6).alias("silhouette_score"))
+
+
 DISPERSION_SQL = f"""{NOISY_SQL}, dims AS (
   SELECT id, cluster, unnest(generate_series(1, len(embedding))) AS dim, unnest(embedding)::DOUBLE AS x
   FROM noisy WHERE cluster <> -1),

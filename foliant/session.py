@@ -6,7 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Rows of a dimension that may be broadcast; beyond it the join shuffles.
 BROADCAST_ROWS = 200_000
@@ -42,12 +41,6 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint when the row count is proven small, else leave it to AQE."""
-    small = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if small else df
-
-
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Hash-spread a scan that yields fewer splits than cores.
 
@@ -55,10 +48,6 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     otherwise run its per-row work on a single core.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if splits(df) >= cores:
+    if df.rdd.getNumPartitions() >= cores:
         return df
     return df.repartition(cores, key)
-
-
-def splits(df: DataFrame) -> int:
-    return df.rdd.getNumPartitions()
