@@ -312,6 +312,11 @@ def plot_projection(spark, sf_dir):
     return projection(points, 2).withColumn("is_noise", F.col("cluster") == C.NOISE)
 
 
+@query("P3_projection_3d")
+def plot_projection_3d(spark, sf_dir):
+    return projection(noisy(spark, sf_dir).select("id", "embedding", "cluster"), 3)
+
+
 @query(
     "P4_hover_text",
     """SELECT doc_id, left(text, 100) || '...' AS hover, 'Point ' || doc_id AS plain FROM documents""",

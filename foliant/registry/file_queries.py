@@ -15,6 +15,7 @@ from foliant.plans.process import process_documents
 from foliant.registry.base import query, table, texts
 from foliant.registry.metric_queries import METRICS_SQL, all_preds, rounded
 from foliant.registry.text_queries import loaded_documents, sql_tokens
+from foliant.registry.vector_queries import COUNT_SQL
 from foliant.session import scratch_folder
 from foliant.sources import files as S
 from foliant.sources import sinks
@@ -364,7 +365,12 @@ def report_sink(spark, sf_dir):
     return sinks.read_report(spark, path).select("model", *M.METRICS)
 
 
-@query("S16_model_store")
+@query(
+    "S16_model_store",
+    COUNT_SQL.replace("SELECT doc_id, term, tf FROM c SEMI JOIN v USING (term)", "")
+    + """SELECT d.doc_id, count(k.term) AS terms FROM documents d
+      LEFT JOIN (SELECT doc_id, term FROM c SEMI JOIN v USING (term)) k ON k.doc_id = d.doc_id GROUP BY d.doc_id""",
+)
 def model_store(spark, sf_dir):
     docs = texts(spark, sf_dir, "documents").select("doc_id", "text")
     vocabulary = fit_counts(docs)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from foliant.functions.arrays import token_counts
@@ -14,6 +15,7 @@ from foliant.operators.cleaning import prepare_corpus
 from foliant.operators.joins import unmatched
 from foliant.plans.features import document_features
 from foliant.registry.base import query, sql_list, table, texts
+from foliant.registry.text_queries import RAW_WORDS, sql_clean
 
 
 def terms_sql(source: str, *, stop: bool, bigrams: bool, prefix: str = "") -> str:
@@ -123,9 +125,25 @@ def reduce_pca(spark, sf_dir):
     return R.pca(texts(spark, sf_dir, "embeddings").select("vec_id", "embedding"), 50)
 
 
-@query("V8_document_features")
+@query(
+    "V8_document_features",
+    f"""WITH prep AS (SELECT doc_id, text FROM (SELECT doc_id, {sql_clean()} AS text FROM documents
+        WHERE length(text) >= 50) WHERE length(text) >= 50),
+      {terms_sql('prep', stop=True, bigrams=False)}, {vocabulary_sql('', 'prep')},
+      k AS (SELECT doc_id, count(*) AS n FROM c SEMI JOIN v USING (term) GROUP BY doc_id)
+    SELECT d.doc_id, len({RAW_WORDS.replace("text", "d.text")}) AS word_count,
+      p.doc_id IS NOT NULL AS prepared, CASE WHEN p.doc_id IS NOT NULL THEN coalesce(k.n, 0) END AS count_terms
+    FROM documents d LEFT JOIN prep p ON p.doc_id = d.doc_id LEFT JOIN k ON k.doc_id = d.doc_id""",
+)
 def features(spark, sf_dir):
-    return document_features(documents(spark, sf_dir)).drop("tfidf", "counts")
+    bundle = document_features(documents(spark, sf_dir))
+    terms = F.size(F.filter(vector_to_array("counts"), lambda x: x > 0))
+    return bundle.select(
+        "doc_id",
+        "stats.word_count",
+        F.col("prepared").isNotNull().alias("prepared"),
+        F.when(F.col("reduced").isNotNull() | F.col("prepared").isNotNull(), terms).alias("count_terms"),
+    )
 
 
 @query(
