@@ -124,10 +124,20 @@ def make_estimator(model_type: str, n_rows: int, n_classes: int, **options) -> E
         preset = {"numTrees": 100, "maxDepth": 20, "featureSubsetStrategy": "sqrt", "seed": 42}
         return RandomForestClassifier(**common, **{**preset, **options})
     if model_type == "svm":
-        preset = {"regParam": 1.0 / max(n_rows, 1), "maxIter": 100, "standardization": False}
+        preset = {
+            "regParam": 1.0 / max(n_rows, 1),
+            "maxIter": 100,
+            "tol": 1e-3,
+            "standardization": False,
+        }
         return _several(LinearSVC(**common, **{**preset, **options}), n_classes)
     if model_type == "logistic_regression":
-        preset = {"maxIter": 1000, "regParam": 1.0 / max(n_rows, 1), "standardization": False}
+        preset = {
+            "maxIter": 1000,
+            "regParam": 1.0 / max(n_rows, 1),
+            "tol": 1e-4,
+            "standardization": False,
+        }
         return LogisticRegression(**common, **{**preset, **options})
     if model_type in ("gradient_boosting", "xgboost"):
         depth, step = (3, 0.1) if model_type == "gradient_boosting" else (6, 0.3)
