@@ -15,7 +15,7 @@ _OPEN = rf"(?<![{WORD}])"
 _CLOSE = rf"(?![{WORD}])"
 _D = r"\p{Nd}"
 
-# Entity patterns. Word edges are spelled out because \b differs between JVM
+# What counts as an entity. Word edges are spelled out because \b differs between JVM
 # versions; disjoint repeats are possessive so long runs stay linear.
 ENTITY_PATTERNS = {
     "email": rf"(?i){_EDGE}[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{{2,}}{_EDGE}",

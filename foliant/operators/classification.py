@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from math import log
+from math import ceil, log
 
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
@@ -33,6 +33,8 @@ MODELS = [
     "gradient_boosting",
     "xgboost",
 ]
+# Training rows a task should hold at least, as far as there are that many.
+ROWS_PER_TASK = 10_000
 CV_MODELS = ["random_forest", "svm", "logistic_regression"]
 
 
@@ -290,7 +292,10 @@ def train(
         stats = fit_rows.agg(F.count("*").alias("n"), F.max("y_true").alias("top")).first()
         estimator = make_estimator(model_type, stats["n"], (stats["top"] or 0) + 1, **options)
         numeric = F.col("y_true").cast("double").alias("label")
-        model = estimator.fit(fit_rows.select("features", numeric))
+        # Iterative solvers run a job per step: partitions of a few hundred rows
+        # would spend the time on scheduling. Coalescing never adds a shuffle.
+        tasks = max(1, ceil(stats["n"] / ROWS_PER_TASK))
+        model = estimator.fit(fit_rows.select("features", numeric).coalesce(tasks))
         done = model.transform(held)
         scored = done.select(
             id_col,

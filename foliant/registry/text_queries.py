@@ -229,8 +229,7 @@ def corpus(spark, sf_dir):
     return prepare_corpus(texts(spark, sf_dir, "documents")).select("doc_id", "prepared")
 
 
-# The published patterns, written for the oracle's own engine. Word edges are
-# explicit so that accented letters count as letters there too.
+# The entity patterns as they are defined, for the oracle's engine.
 SQL_PATTERNS = {
     "email": r"(?i)\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b",
     "phone": r"(\+\d{1,3}[-\.\s]??)?\d{3}[-\.\s]??\d{3}[-\.\s]??\d{4}",
