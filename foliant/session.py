@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -10,6 +12,19 @@ from pyspark.sql import DataFrame, SparkSession
 # Rows of a dimension that may be broadcast; beyond it the join shuffles.
 BROADCAST_ROWS = 200_000
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Hand the package to the Python workers, wherever the driver was started."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    target = os.path.join(tempfile.mkdtemp(prefix="foliant-package-"), "foliant")
+    context.addPyFile(shutil.make_archive(target, "zip", root, "foliant"))
+    _shipped.add(context.applicationId)
+
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the folder named by ``spark.checkpoint.dir``.
