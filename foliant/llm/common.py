@@ -42,7 +42,7 @@ def range_index(key: Column, bounds: Sequence) -> Column:
     start = F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi"))
 
     def halve(state, _):
-        mid = F.floor((state["lo"] + state["hi"]) / 2).cast("int")
+        mid = F.shiftright(state["lo"] + state["hi"], 1)
         right = (state["lo"] < state["hi"]) & (F.get(array, mid) <= key)
         return F.struct(
             F.when(right, mid + 1).otherwise(state["lo"]).alias("lo"),

@@ -29,4 +29,4 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, most: int) -
         .limit(most)
     )
     # At most ``most`` rows of two numbers.
-    return docs.join(F.broadcast(chosen), "id").limit(most)
+    return docs.select("id", "text").join(F.broadcast(chosen), "id").limit(most)

@@ -54,9 +54,9 @@ FEATURES = _KINDS + _KINDS**2 + 3
 
 
 def _repeats(data: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Word starts, and whether the 16 bytes from there occur again in the document."""
+    """Word starts after a blank, and whether the 16 bytes from there occur again in the document."""
     blank = _CLASS[data] == 5
-    starts = np.flatnonzero(blank[:-1] & ~blank[1:]) + 1
+    starts = np.flatnonzero(blank[:-1] & ~blank[1:] & (owner[:-1] == owner[1:])) + 1
     starts = starts[starts + 16 <= len(data)]
     starts = starts[owner[starts] == owner[starts + 15]]
     if not len(starts):
