@@ -36,7 +36,7 @@ USUAL = 24
 LONGEST = 96
 STRICT_BITS = 6
 LOOSE_BITS = 3
-PARTITION_ROWS = 20_000
+PARTITION_ROWS = 5_000
 _SLICE = 1 << 22  # bytes hashed at a time
 
 
