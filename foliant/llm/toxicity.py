@@ -11,7 +11,8 @@ documents; a flagged one gets 1 to 3 by how many different features it uses that
 the sample shows in flagged documents only.
 
 Training takes at most ``MOST_LABELLED`` labelled documents and runs on the driver;
-features seen in fewer than ``LEAST_DOCS`` of them get no weight. Scoring is map-only
+features seen in fewer than ``LEAST_DOCS`` flagged ones, or not clearly more often
+there than in clean ones, get no weight and stay on the executors. Scoring is map-only
 over whole texts.
 
 Defined cases: a null or empty text has no features and gets the severity of a clean
@@ -31,6 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from foliant.llm.common import stored
 from foliant.llm.labelled import held_out, training_sample
 
 GRADES = 4
@@ -147,21 +149,35 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED,
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"x": [document_features(t).tobytes() for t in batch["text"]], "y": batch["label"]})
-
-    sample = training_sample(docs, labels, "label", most).orderBy("id").select("text", "label")
-    frame = sample.mapInPandas(run, "x binary, y int").toPandas()
+            x = [document_features(t).view(np.int64) for t in batch["text"]]
+            yield pd.DataFrame({"id": batch["id"], "y": batch["label"], "x": x})
+
+    sample = training_sample(docs, labels, "label", most).select("id", "text", "label")
+    sample = stored(
+        sample.mapInPandas(run, "id long, y int, x array<long>").withColumn(
+            "doc", F.monotonically_increasing_id()
+        )
+    )
+    known = sample.select("id", "doc", "y").orderBy("id", "doc").toPandas()
     model = OrdinalModel()
-    if not len(frame):
+    y = known["y"].to_numpy(np.int64)
+    bad = int((y > 0).sum())
+    if not bad:
         return model
-    found = [np.frombuffer(b, np.uint64) for b in frame["x"]]
-    rows = np.repeat(np.arange(len(found)), [len(f) for f in found])
-    hashes, columns, counts = np.unique(np.concatenate(found), return_inverse=True, return_counts=True)
-    keep = counts >= LEAST_DOCS
-    place = np.cumsum(keep) - 1
-    kept = keep[columns]
-    rows, columns, hashes = rows[kept], place[columns[kept]], hashes[keep]
-    y = frame["y"].to_numpy(np.int64)
+    # Only features that pass the screening of ``fit`` come to the driver.
+    pairs = sample.select("doc", (F.col("y") > 0).cast("int").alias("bad"), F.explode("x").alias("h"))
+    seen, clear = F.col("seen"), F.col("clear") / F.lit(max(1, len(y) - bad))
+    useful = (
+        pairs.groupBy("h")
+        .agg(F.sum("bad").alias("seen"), F.sum(1 - F.col("bad")).alias("clear"))
+        .filter((seen >= LEAST_DOCS) & (seen / F.lit(bad) > 2 * clear))
+        .select("h")
+    )
+    found = pairs.join(useful, "h").select("doc", "h").toPandas()
+    rows = pd.Series(np.arange(len(known)), index=known["doc"]).loc[found["doc"]].to_numpy()
+    hashes, columns = np.unique(found["h"].to_numpy(np.int64).view(np.uint64), return_inverse=True)
+    order = np.lexsort((columns, rows))
+    rows, columns = rows[order], columns[order]
     grades = np.clip(y, 0, GRADES - 1) if graded else grades_from_flags(columns, rows, y, len(hashes))
     return model.fit(rows, columns, hashes, grades)
 
