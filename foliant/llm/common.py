@@ -14,7 +14,18 @@ from foliant.operators.joins import lookup
 from foliant.session import scratch_folder
 
 
+BATCH_ROWS = 200
+BATCH_BYTES = 8 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Hand rows to Python in batches of bounded size: texts and tiles are wide rows."""
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        spark.conf.set(f"spark.sql.execution.arrow.{name}", str(most))
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

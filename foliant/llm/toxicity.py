@@ -39,7 +39,7 @@ GRADES = 4
 MOST_LABELLED = 6_000
 LEAST_DOCS = 3
 THRESHOLD = 0.5
-_KEEP = 300_000
+_KEEP = 100_000
 _WORD = re.compile(r"[^\W\d_]+")
 
 

@@ -18,7 +18,7 @@ import numpy as np
 from tokenizers import Tokenizer
 
 END_ID = 1
-_KEEP = 250_000  # remembered words, and pieces, of a worker
+_KEEP = 150_000  # remembered words, and pieces, of a worker
 
 # The splitter of the lower-casing word vocabulary.
 _SPLITTER = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
