@@ -216,8 +216,15 @@ def hierarchical(
 
     A merge tree over all pairs does not distribute; the divisive tree does.
     Labels therefore differ from those of an agglomerative method.
+
+    A split moves a center in proportion to its norm, so rows centred on zero
+    would never split. All rows move by one constant, the largest absolute
+    coordinate, which changes no distance.
     """
-    data = df.withColumn("_features", array_to_vector(F.col(col).cast("array<double>")))
+    values = F.col(col).cast("array<double>")
+    reach = df.agg(F.max(F.array_max(F.transform(values, F.abs)))).first()[0] or 1.0
+    shifted = F.transform(values, lambda x: x + F.lit(float(reach)))
+    data = df.withColumn("_features", array_to_vector(shifted))
     model = BisectingKMeans(
         k=k, seed=seed, featuresCol="_features", predictionCol="cluster"
     ).fit(data)
