@@ -123,7 +123,7 @@ def validated(spark, sf_dir):
     absent = table(spark, sf_dir, "benchmark").select(
         F.concat(F.lit("/data/absent/"), F.col("item_id").cast("string"), F.lit(".txt")).alias("path")
     )
-    return V.validate(V.with_missing(found.select("path").unionByName(absent), found))
+    return V.validate_requested(found.select("path").unionByName(absent), found)
 
 
 VALIDATED_SQL = f"""{FILES_SQL}, checked AS (
@@ -414,5 +414,4 @@ def run_all(spark, sf_dir):
         item_folder(spark, sf_dir),
         f"{scratch_folder(spark)}/out",
         labelled=labelled,
-        models=["naive_bayes", "svm"],
     )
