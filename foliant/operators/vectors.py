@@ -49,39 +49,52 @@ class Vocabulary:
     def tokens(self, text: Column) -> Column:
         return vector_tokens(text, self.ngram, self.stopwords)
 
+    def _entries(self, docs: DataFrame, id_col: str, text: str) -> DataFrame:
+        """id, entries: array<struct<term, index, tf, idf>> of the known terms, by index.
+
+        Map-only: the counts come as a sparse vector, terms and idf from constants of
+        at most ``max_features`` entries. Documents without a known term are absent.
+        """
+        known = docs.select(id_col, text).filter(F.col(text).isNotNull())
+        counted = self.count_vectors(known, text=text, output="_counts").select(
+            id_col, F.unwrap_udt("_counts").alias("_counts")
+        )
+        terms = F.split(F.lit("\n".join(self.terms)), "\n")
+        idf = F.split(F.lit("\n".join(map(repr, self.idf))), "\n").cast("array<double>")
+        entries = F.zip_with(
+            "_counts.indices",
+            "_counts.values",
+            lambda i, n: F.struct(
+                F.get(terms, i).alias("term"),
+                i.alias("index"),
+                n.cast("long").alias("tf"),
+                F.get(idf, i).alias("idf"),
+            ),
+        )
+        return counted.select(id_col, entries.alias("entries")).filter(F.size("entries") > 0)
+
     def term_rows(self, docs: DataFrame, *, id_col: str = "doc_id", text: str = "text") -> DataFrame:
         """id, term, index, tf, idf of the known terms; unseen terms vanish."""
-        rows = docs.select(id_col, F.inline(token_counts(self.tokens(F.col(text)))))
-        return rows.join(
-            F.broadcast(self.table.select(F.col("term").alias("token"), "index", "idf")), "token"
-        ).select(
-            id_col, F.col("token").alias("term"), "index", F.col("n").cast("long").alias("tf"), "idf"
-        )
+        return self._entries(docs, id_col, text).select(id_col, F.inline("entries"))
 
     def weight_rows(
         self, docs: DataFrame, *, id_col: str = "doc_id", text: str = "text"
     ) -> DataFrame:
-        """id, terms: array<struct<term, index, tf, weight>> scaled to length 1.
+        """id, terms: array<struct<term, index, tf, weight>> scaled to length 1."""
 
-        One shuffle of the pruned terms; a document holds at most one entry per
-        vocabulary term. Documents without a known term are absent.
-        """
-        raw = F.col("tf") * F.col("idf")
-        per_doc = (
-            self.term_rows(docs, id_col=id_col, text=text)
-            .groupBy(id_col)
-            .agg(F.collect_list(F.struct("term", "index", "tf", raw.alias("raw"))).alias("terms"))
-        )
-        norm = F.sqrt(F.aggregate("terms", F.lit(0.0), lambda acc, t: acc + t["raw"] * t["raw"]))
+        def raw(t: Column) -> Column:
+            return t["tf"] * t["idf"]
+
+        norm = F.sqrt(F.aggregate("entries", F.lit(0.0), lambda acc, t: acc + raw(t) * raw(t)))
         # Bound once per row: inlined into the lambda it would be computed per term.
         scaled = let(
             norm,
             lambda n: F.transform(
-                "terms",
-                lambda t: F.struct(t["term"], t["index"], t["tf"], (t["raw"] / n).alias("weight")),
+                "entries",
+                lambda t: F.struct(t["term"], t["index"], t["tf"], (raw(t) / n).alias("weight")),
             ),
         )
-        return per_doc.select(id_col, scaled.alias("terms"))
+        return self._entries(docs, id_col, text).select(id_col, scaled.alias("terms"))
 
     def weights(self, docs: DataFrame, *, id_col: str = "doc_id", text: str = "text") -> DataFrame:
         """Long TF-IDF: id, term, index, tf, weight."""

@@ -52,7 +52,32 @@ def test_vectors_need_no_shuffle(docs):
     model = V.fit_vocabulary(docs.select("doc_id", "text"), max_features=50)
     assert "Exchange" not in plan(model.tfidf_vectors(docs.select("doc_id", "text")))
     long = plan(model.weights(docs.select("doc_id", "text")))
-    assert long.count("Exchange hash") == 1 and "BroadcastHashJoin" in long
+    assert "Exchange" not in long
+
+
+def test_validation_joins_no_file_body(spark, tmp_path):
+    from foliant.operators.validation import validate_requested
+    from foliant.sources.files import read_files
+
+    (tmp_path / "a.txt").write_text("x" * 200)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        files = read_files(spark, str(tmp_path))
+        found = files.select("path").unionByName(spark.createDataFrame([("/no.txt",)], "path string"))
+        text = plan(validate_requested(found, files))
+        lines = text.splitlines()
+        below = [lines[k + 1] for k, line in enumerate(lines) if "Exchange hashpartitioning(path" in line]
+        assert len(below) == 2 and not any(re.search(r"[\[ ]content#\d+[,\]]", line) for line in below)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_extracted_text_reads_the_files_once(spark, tmp_path):
+    from foliant.operators.assembly import extracted_text
+    from foliant.sources.files import load_documents
+
+    (tmp_path / "a.txt").write_text("x" * 200)
+    assert "binaryFile" not in plan(extracted_text(load_documents(spark, str(tmp_path))))
 
 
 def test_split_does_not_shuffle_the_text(spark, sf_dir, docs):
