@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import json
+import zlib
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column
@@ -40,7 +42,7 @@ FUSED_WORDS = [
     ("wan", "na"),
 ]
 
-MAX_INLINE_LEMMAS = 200
+LEMMAS_PER_MAP = 50
 
 
 def stopwords_for(language: str = "english") -> list[str]:
@@ -114,6 +116,20 @@ def normalized_tokens(
     return tokens
 
 
+def lemma_finder(lemmas: Mapping[str, str]) -> Callable[[Column], Column]:
+    """Token -> its lemma or null.
+
+    A map is searched from end to end, so the dictionary is dealt to small maps by
+    the checksum of the token.
+    """
+    n = -(-len(lemmas) // LEMMAS_PER_MAP)
+    maps: list[dict[str, str]] = [{} for _ in range(n)]
+    for surface, lemma in lemmas.items():
+        maps[zlib.crc32(surface.encode()) % n][surface] = lemma
+    table = F.from_json(F.lit(json.dumps(maps)), "array<map<string,string>>")
+    return lambda t: F.get(table, (F.crc32(t) % n).cast("int"))[t]
+
+
 def clean_tokens(
     text: Column,
     *,
@@ -128,8 +144,8 @@ def clean_tokens(
 ) -> Column:
     """Cleaned tokens; stopwords go before lemmas, the length test comes last.
 
-    ``lemmas`` is a small dictionary written into the plan; a full dictionary
-    belongs in a table, see ``operators.cleaning.clean_documents``.
+    ``lemmas`` is a dictionary of the caller, written into the plan; a dictionary
+    kept as a table is joined instead, see ``operators.cleaning.clean_documents``.
     """
     words = stopwords if stopwords is not None else stopwords_for(language)
     tokens = normalized_tokens(
@@ -140,12 +156,8 @@ def clean_tokens(
         stopwords=words if remove_stopwords else None,
     )
     if lemmas:
-        if len(lemmas) > MAX_INLINE_LEMMAS:
-            raise ValueError(
-                f"{len(lemmas)} lemmas are too many to inline; use clean_documents"
-            )
-        table = F.create_map(*[F.lit(x) for pair in lemmas.items() for x in pair])
-        tokens = F.transform(tokens, lambda t: F.coalesce(table[t], t))
+        find = lemma_finder(lemmas)
+        tokens = F.transform(tokens, lambda t: F.coalesce(find(t), t))
     return F.filter(tokens, lambda t: F.length(t) >= min_word_length)
 
 

@@ -153,3 +153,10 @@ def test_stats(spark):
     got = one(spark, "Ab cd. Ef!", T.text_stats)
     assert got.sentence_count == 2 and got.word_count == 5
     assert got.avg_sentence_length == 2.5 and got.avg_word_length == 8 / 5
+
+
+def test_a_large_dictionary_of_lemmas_in_the_plan(spark):
+    lemmas = {f"wörd{i}": f"base{i}" for i in range(3000)}
+    df = spark.createDataFrame([("wörd7 wörd2999 tree",)], "text string")
+    got = df.select(T.clean_text(F.col("text"), lemmas=lemmas, remove_numbers=False).alias("t")).first().t
+    assert got == "base7 base2999 tree"
