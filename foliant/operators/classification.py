@@ -33,8 +33,6 @@ MODELS = [
     "gradient_boosting",
     "xgboost",
 ]
-# Training rows a task should hold at least, as far as there are that many.
-ROWS_PER_TASK = 10_000
 CV_MODELS = ["random_forest", "svm", "logistic_regression"]
 
 
@@ -288,14 +286,15 @@ def train(
         found = model.predict(held_weights, held, id_col=id_col)
         scored = held.select(id_col, "y_true").join(found, id_col)
     else:
+        spark = vectors.sparkSession
         fit_rows, held = vectors.filter("split = 'train'"), vectors.filter("split = 'test'")
         stats = fit_rows.agg(F.count("*").alias("n"), F.max("y_true").alias("top")).first()
         estimator = make_estimator(model_type, stats["n"], (stats["top"] or 0) + 1, **options)
         numeric = F.col("y_true").cast("double").alias("label")
-        # Iterative solvers run a job per step: partitions of a few hundred rows
-        # would spend the time on scheduling. Coalescing never adds a shuffle.
-        tasks = max(1, ceil(stats["n"] / ROWS_PER_TASK))
-        model = estimator.fit(fit_rows.select("features", numeric).coalesce(tasks))
+        # Iterative solvers run a job per step: the vectors are computed once, and
+        # not read in more parts than there are cores. Coalescing adds no shuffle.
+        ready = durable(fit_rows.select("features", numeric))
+        model = estimator.fit(ready.coalesce(spark.sparkContext.defaultParallelism))
         done = model.transform(held)
         scored = done.select(
             id_col,

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliant.operators.ordered import running_totals
+from foliant.session import durable
 
 METRICS = [
     "accuracy",
@@ -193,8 +194,10 @@ def roc_auc(preds: DataFrame) -> DataFrame:
         hit.alias("hit"),
         F.explode(F.when(hit, others).otherwise(F.array("y_true"))).alias("other"),
     )
-    counts = duels.groupBy("model", "label", "other", "score").agg(
-        F.count_if("hit").alias("pos"), F.count_if(~F.col("hit")).alias("neg")
+    counts = durable(
+        duels.groupBy("model", "label", "other", "score").agg(
+            F.count_if("hit").alias("pos"), F.count_if(~F.col("hit")).alias("neg")
+        )
     )
     ranked = running_totals(counts, ["model", "label", "other"], "score", ["neg"])
     pairs = ranked.groupBy("model", "label", "other").agg(
@@ -218,7 +221,8 @@ def roc_auc(preds: DataFrame) -> DataFrame:
 
 def _threshold_counts(preds: DataFrame) -> DataFrame:
     """Counts at and above each distinct score: tp, fp, with class totals p, n."""
-    counts = _curve_counts(preds).withColumn("desc", -F.col("score"))
+    # Read four times below.
+    counts = durable(_curve_counts(preds).withColumn("desc", -F.col("score")))
     ranked = running_totals(counts, ["model", "label"], "desc", ["pos", "neg"])
     totals = counts.groupBy("model", "label").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
     return ranked.join(totals, ["model", "label"]).select(

@@ -11,11 +11,17 @@ from pyspark.sql import functions as F
 from foliant.operators.joins import lookup
 from foliant.session import durable
 
-BUCKETS = 512
+BUCKETS = 512  # at least
+ROWS_PER_BUCKET = 500_000
 
 
-def range_buckets(df: DataFrame, order: str, buckets: int = BUCKETS) -> DataFrame:
-    """Add ``_bucket``: order-preserving, each holding about 1/buckets of the rows."""
+def range_buckets(df: DataFrame, order: str, buckets: int | None = None) -> DataFrame:
+    """Add ``_bucket``: order-preserving, each holding about 1/buckets of the rows.
+
+    By default as many buckets as keep each near ``ROWS_PER_BUCKET`` rows.
+    """
+    if buckets is None:
+        buckets = max(BUCKETS, df.count() // ROWS_PER_BUCKET)
     share = [i / buckets for i in range(1, buckets)]
     found = df.agg(
         F.percentile_approx(F.col(order).cast("double"), share, buckets * 20).alias("s")
@@ -33,7 +39,7 @@ def running_totals(
     group: Sequence[str],
     order: str,
     values: Sequence[str],
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Add ``cum_<value>``: inclusive running sums along ``order`` in each group.
 

@@ -91,7 +91,7 @@ model_query("M3_random_forest", "random_forest")
 model_query("M4_svm", "svm")
 model_query("M5_logistic_regression", "logistic_regression")
 model_query("M7_gradient_boosting", "gradient_boosting")
-model_query("M8_second_boosting", "xgboost", maxIter=20)
+model_query("M8_second_boosting", "xgboost")
 model_query("M9_train_naive_bayes", "naive_bayes")
 
 
@@ -126,13 +126,9 @@ def cross_validate(spark, sf_dir):
     return K.cross_validate(encoded(spark, sf_dir), "svm", 5)
 
 
-# Boosting runs 20 rounds here; the presets use 100.
-FEWER_ROUNDS = {"gradient_boosting": {"maxIter": 20}, "xgboost": {"maxIter": 20}}
-
-
 @query("M11_compare_models")
 def compare_models(spark, sf_dir):
-    return K.compare_models(labelled_documents(spark, sf_dir), options=FEWER_ROUNDS)[0]
+    return K.compare_models(labelled_documents(spark, sf_dir))[0]
 
 
 @query("L4_train_classifier")
@@ -147,6 +143,6 @@ def compare_classification_models(spark, sf_dir):
     parts = workflow.compare_classification_models(
         labelled_documents(spark, sf_dir),
         scratch_folder(spark),
-        ["naive_bayes", "svm", "logistic_regression", "bert"],
+        [*K.MODELS, "bert"],
     )
     return parts["report"]

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Rows of a dimension that may be broadcast; beyond it the join shuffles.
 BROADCAST_ROWS = 200_000
+# Splits of a table that may be dealt out anew.
+FEW_SPLITS = 8
 
 _shipped: set[str] = set()
 
@@ -57,12 +59,14 @@ def durable(df: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-spread a scan that yields fewer splits than cores.
+    """Hash-spread a scan of a few splits, which may all but one be empty.
 
-    A no-op on a large table. A small one written as one row group would
-    otherwise run its per-row work on a single core.
+    A table written as one row group would otherwise run its per-row work on a
+    single core. Fewer than ``FEW_SPLITS`` splits hold at most that many times
+    ``spark.sql.files.maxPartitionBytes``, so no larger table is ever shuffled,
+    however many cores there are.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    if df.rdd.getNumPartitions() >= min(cores, FEW_SPLITS):
         return df
     return df.repartition(cores, key)
