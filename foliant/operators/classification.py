@@ -33,6 +33,9 @@ MODELS = [
     "gradient_boosting",
     "xgboost",
 ]
+# Stored training rows a task should read at least, for tables of few rows.
+ROWS_PER_TASK = 2_000
+FEW_ROWS = 1_000_000
 CV_MODELS = ["random_forest", "svm", "logistic_regression"]
 
 
@@ -291,10 +294,11 @@ def train(
         stats = fit_rows.agg(F.count("*").alias("n"), F.max("y_true").alias("top")).first()
         estimator = make_estimator(model_type, stats["n"], (stats["top"] or 0) + 1, **options)
         numeric = F.col("y_true").cast("double").alias("label")
-        # Iterative solvers run a job per step: the vectors are computed once, and
-        # not read in more parts than there are cores. Coalescing adds no shuffle.
+        # Iterative solvers run a job per step: the vectors are computed and stored
+        # by all tasks, and small ones are then read in few parts, without a shuffle.
         ready = durable(fit_rows.select("features", numeric))
-        model = estimator.fit(ready.coalesce(spark.sparkContext.defaultParallelism))
+        tasks = min(spark.sparkContext.defaultParallelism, 1 + stats["n"] // ROWS_PER_TASK)
+        model = estimator.fit(ready.coalesce(tasks) if stats["n"] < FEW_ROWS else ready)
         done = model.transform(held)
         scored = done.select(
             id_col,

@@ -5,7 +5,8 @@ from oracle import connect, difference
 
 import __spark_entry__ as entry
 
-SLOW = {"M7_gradient_boosting", "M8_second_boosting", "M11_compare_models", "M5_logistic_regression"}
+SLOW = {"M7_gradient_boosting", "M8_second_boosting", "M11_compare_models", "M5_logistic_regression",
+        "L5_compare_classification_models", "L6_run_all"}
 
 
 @pytest.fixture(scope="module")
