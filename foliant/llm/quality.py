@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -220,11 +221,12 @@ def score_quality(docs: DataFrame, model: AttentionModel) -> DataFrame:
     """id, score. ``docs``: id, text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pd.DataFrame({"id": batch["id"], "score": shared.value.score(batch["text"].tolist())})
+            scores = shared.value.score(batch.column("text").to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(scores)], names=["id", "score"])
 
-    return docs.select("id", "text").mapInPandas(run, "id long, score double")
+    return docs.select(F.col("id").cast("long").alias("id"), "text").mapInArrow(run, "id long, score double")
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

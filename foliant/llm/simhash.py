@@ -20,6 +20,7 @@ from itertools import accumulate
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -58,15 +59,21 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
 def fingerprints(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE
 ) -> DataFrame:
-    """id, fp (the 64 bits as a signed long)."""
+    """id, digest (hash of the text as given), fp (the 64 bits as a signed long)."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = np.array([fingerprint(t, shingle) for t in batch["text"]], dtype=np.uint64)
-            yield pd.DataFrame({"id": batch["id"], "fp": values.view(np.int64)})
-
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInPandas(run, "id long, fp long")
+            texts = batch.column("text").to_pylist()
+            values = np.array([fingerprint(t, shingle) for t in texts], dtype=np.uint64)
+            columns = [batch.column("id"), batch.column("digest"), pa.array(values.view(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "digest", "fp"])
+
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("id"),
+        F.xxhash64(text_col).alias("digest"),
+        F.col(text_col).alias("text"),
+    )
+    return rows.mapInArrow(run, "id long, digest long, fp long")
 
 
 def as_hex(fp: Column) -> Column:
@@ -137,7 +144,8 @@ def near_duplicates(
     tile_rows: int = TILE_ROWS,
     shingle: int = SHINGLE,
 ) -> DataFrame:
-    """id, fp, component_id (smallest id reachable over links of at most
+    """id, digest (hash of the text as given), fp, component (a fingerprint of the
+    class, never null), component_id (smallest id reachable over links of at most
     ``radius`` differing bits)."""
     rows = stored(fingerprints(docs, id_col, text_col, shingle))
     classes = stored(rows.groupBy("fp").agg(F.min("id").alias("first")))
@@ -146,5 +154,5 @@ def near_duplicates(
         "fp", "first", F.coalesce("component", "fp").alias("component")
     )
     smallest = joined.groupBy("component").agg(F.min("first").alias("component_id"))
-    table = stored(joined.join(smallest, "component").select("fp", "component_id"))
-    return lookup(rows, table, "fp", "left").select("id", "fp", "component_id")
+    table = stored(joined.join(smallest, "component").select("fp", "component", "component_id"))
+    return lookup(rows, table, "fp", "left").select("id", "digest", "fp", "component", "component_id")

@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -186,12 +187,16 @@ def score_toxicity(docs: DataFrame, model: OrdinalModel) -> DataFrame:
     """id, severity (expected grade), toxic_probability. ``docs``: id, text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names = ["id", "severity", "toxic_probability"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            above = shared.value.probabilities(shared.value.sums(batch["text"].tolist()))
-            yield pd.DataFrame({"id": batch["id"], "severity": above.sum(axis=1), "toxic_probability": above[:, 0]})
+            above = shared.value.probabilities(shared.value.sums(batch.column("text").to_pylist()))
+            columns = [batch.column("id"), pa.array(above.sum(axis=1)), pa.array(above[:, 0])]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return docs.select("id", "text").mapInPandas(run, "id long, severity double, toxic_probability double")
+    rows = docs.select(F.col("id").cast("long").alias("id"), "text")
+    return rows.mapInArrow(run, "id long, severity double, toxic_probability double")
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

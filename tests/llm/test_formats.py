@@ -223,6 +223,26 @@ def test_pipeline(spark, sf_dir, docs):
     assert set(total) == {r.doc_id for r in single.collect()}
 
 
+def test_pipeline_keeps_rows_without_ids(spark, sf_dir):
+    """One row of every group stays: unnamed groups, shared ids and ids beyond 2**53 too."""
+    words = [f"{w} walks along the {w} river with seven {w} friends today" for w in ("amber", "birch", "cedar", "delta")]
+    big = 2**60 + 1
+    rows = [
+        (None, words[0], None), (None, words[0], "x"), (big, words[1], None), (None, words[1], None),
+        (7, words[2], None), (7, words[3], None), (7, words[3], None), (None, None, None), (None, "", None),
+    ]
+    table = spark.createDataFrame(rows, "doc_id long, text string, digest string").coalesce(1)
+    found = corpus_pipeline.drop_near_duplicates(spark, table, sf_dir)
+    assert found.columns == table.columns
+    kept = [(r.doc_id, r.text or "") for r in found.collect()]
+    expected = [(None, words[0]), (big, words[1]), (7, words[2]), (7, words[3]), (None, "")]
+    assert sorted(kept, key=str) == sorted(expected, key=str)
+    passed = corpus_pipeline._scored(table, lambda t: np.array([len(x or "") for x in t]), 1, True)
+    assert [(r.doc_id, r.text) for r in passed.collect()] == [(None, None), (None, "")]
+    ids = corpus_pipeline._scored(table, lambda t: np.zeros(len(t)), 1, True)
+    assert Counter(r.doc_id for r in ids.collect()) == Counter(r[0] for r in rows)
+
+
 def test_pipeline_empty(spark, sf_dir, docs):
     for _, stage in corpus_pipeline.STAGES:
         out = stage(spark, docs.limit(0), sf_dir)
