@@ -193,15 +193,15 @@ def near_duplicates(
     linked = stored(_linked(nodes, _rotations(nodes), threshold, tile_rows))
     parts = components_of(linked.select(F.col("node").alias("u"), F.col("root").alias("v")))
     counts = linked.groupBy("node").agg(F.sum("links").alias("links"))
-    joined = (
+    joined = stored(
         nodes.select("node", "n", "first")
         .join(counts, "node", "left")
         .join(parts, "node", "left")
         .withColumn("component", F.coalesce("component", "node"))
     )
-    smallest = joined.groupBy("component").agg(F.min("first").alias("component_id"))
+    smallest = stored(joined.groupBy("component").agg(F.min("first").alias("component_id")))
     table = stored(
-        joined.join(smallest, "component").select(
+        lookup(joined, smallest, "component").select(
             "node", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "component_id"
         )
     )

@@ -150,9 +150,11 @@ def near_duplicates(
     rows = stored(fingerprints(docs, id_col, text_col, shingle))
     classes = stored(rows.groupBy("fp").agg(F.min("id").alias("first")))
     parts = components_of(near_links(classes, radius, tile_rows)).withColumnRenamed("node", "fp")
-    joined = classes.join(parts, "fp", "left").select(
-        "fp", "first", F.coalesce("component", "fp").alias("component")
+    joined = stored(
+        classes.join(parts, "fp", "left").select(
+            "fp", "first", F.coalesce("component", "fp").alias("component")
+        )
     )
-    smallest = joined.groupBy("component").agg(F.min("first").alias("component_id"))
-    table = stored(joined.join(smallest, "component").select("fp", "component", "component_id"))
+    smallest = stored(joined.groupBy("component").agg(F.min("first").alias("component_id")))
+    table = stored(lookup(joined, smallest, "component").select("fp", "component", "component_id"))
     return lookup(rows, table, "fp", "left").select("id", "digest", "fp", "component", "component_id")
