@@ -24,7 +24,9 @@ _KEEP = 150_000  # remembered words, and pieces, of a worker
 _SPLITTER = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 _LATIN = "À-ÖØ-öø-įı-ň Ŋ-ɏ".replace(" ", "")
-_PLAIN = re.compile(rf"[\t\n\r -~{_LATIN}]*")
+# Letters that stay Latin when lower-cased: some capitals lower to letters beyond U+024F.
+_LETTERS = [c for c in map(chr, range(0xC0, 0x250)) if re.fullmatch(f"[{_LATIN}]+", c + c.lower())]
+_PLAIN = re.compile(rf"[\t\n\r -~{''.join(_LETTERS)}]*")
 _PIECE = re.compile(
     rf"'s|'t|'re|'ve|'m|'ll|'d|[a-z{_LATIN}]+|[0-9]|[^\sa-z0-9{_LATIN}]+"
 )

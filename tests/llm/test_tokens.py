@@ -52,6 +52,14 @@ def test_word_tokens_are_the_library_s(words, library, text):
     assert np.frombuffer(words.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_every_plain_character_is_the_library_s(words, library):
+    """Also the capitals that lower-case to letters beyond the plain ones."""
+    for c in map(chr, range(1, 0x250)):
+        for text in (f"ab{c}ba", f"{c}aba spoke", f"x {c} 1{c}"):
+            ids = library.encode(text, add_special_tokens=False).ids
+            assert np.frombuffer(words.encode(text), "<u4").tolist() == ids, text
+
+
 @settings(max_examples=400, deadline=None)
 @given(text=texts)
 def test_byte_bpe_is_the_library_s(bpe, tik, text):
