@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 from foliant.llm import (
     byte_bpe,
     chat,
+    divergence,
     embed_dedup,
+    exact_kmeans,
     fingerprints,
+    mixing,
     packing,
     quality,
     sharding,
@@ -173,3 +176,114 @@ def op10_packing(spark, sf_dir):
         "sequence_id",
         "offset",
     )
+
+
+@query("op11_source_mixing")
+def op11_source_mixing(spark, sf_dir):
+    return mixing.mix(read(spark, sf_dir, "documents")).taken().withColumnRenamed("id", "doc_id")
+
+
+def _kmeans_sql(k: int, rounds: int) -> str:
+    """Plain k-means on integers: every distance anew in every round."""
+    steps = [
+        """
+        v AS MATERIALIZED (
+            SELECT row_number() OVER () AS r, vec_id,
+                list_transform(embedding, lambda c: CAST(floor(c::DOUBLE * 256) AS BIGINT)) AS x
+            FROM embeddings
+            WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+        )""",
+        f"""
+        c0 AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id) NULLS LAST, x) - 1 AS cluster, x AS c
+            FROM v ORDER BY cluster LIMIT {k}
+        )""",
+    ]
+    for n in range(rounds + 1):
+        steps.append(f"""
+        a{n} AS MATERIALIZED (
+            SELECT r, min_by(cluster, d * 1000 + cluster) AS cluster, min(d) AS d
+            FROM (SELECT r, cluster, CAST(list_sum(list_transform(list_zip(x, c), lambda p: (p[1] - p[2]) * (p[1] - p[2])))
+                AS HUGEINT) AS d FROM v, c{n})
+            GROUP BY r
+        )""")
+        if n < rounds:
+            steps.append(f"""
+        c{n + 1} AS MATERIALIZED (
+            SELECT o.cluster, coalesce(m.c, o.c) AS c FROM c{n} o LEFT JOIN (
+                SELECT cluster, list(CAST(CASE WHEN s < 0 THEN -((-s + n - 1) // n) ELSE s // n END AS BIGINT) ORDER BY i) AS c
+                FROM (
+                    SELECT cluster, i, sum(y)::HUGEINT AS s, count(*)::HUGEINT AS n
+                    FROM (SELECT cluster, unnest(x) AS y, unnest(range(64)) AS i FROM a{n} JOIN v USING (r))
+                    GROUP BY cluster, i
+                ) GROUP BY cluster
+            ) m USING (cluster)
+        )""")
+    return f"""
+        WITH {",".join(steps)}
+        SELECT v.vec_id, CAST(a.cluster AS INTEGER) AS cluster, CAST(a.d AS BIGINT) AS distance,
+            CAST(sum(a.d) OVER (PARTITION BY a.cluster) AS BIGINT) AS cluster_inertia,
+            CAST(sum(a.d) OVER () AS BIGINT) AS inertia,
+            sha256(array_to_string(c.c, ',')) AS centroid_sha256
+        FROM a{rounds} a JOIN v USING (r) JOIN c{rounds} c ON c.cluster = a.cluster
+    """
+
+
+@query("op12_centroid_clustering", _kmeans_sql(exact_kmeans.CENTROIDS, exact_kmeans.ROUNDS))
+def op12_centroid_clustering(spark, sf_dir):
+    found, centroids = exact_kmeans.cluster_vectors(read(spark, sf_dir, "embeddings"))
+    return exact_kmeans.describe_clusters(found, centroids).drop("x").withColumnRenamed("id", "vec_id")
+
+
+@query(
+    "op13_source_divergence",
+    """
+    WITH d AS MATERIALIZED (
+        SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+        FROM documents
+    ),
+    w AS MATERIALIZED (
+        SELECT r, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d
+    ),
+    kept AS MATERIALIZED (
+        SELECT lang, term, count(*) AS n FROM w GROUP BY lang, term HAVING count(DISTINCT r) >= 10
+    ),
+    size AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+    grp AS (SELECT DISTINCT lang, source FROM d),
+    seen AS (SELECT lang, source, term, count(*) AS n FROM w GROUP BY lang, source, term),
+    dense AS (
+        SELECT g.lang, g.source, k.term, coalesce(s.n, 0)::HUGEINT AS n
+        FROM grp g JOIN kept k ON g.lang = k.lang
+        LEFT JOIN seen s ON s.lang = g.lang AND s.source = g.source AND s.term = k.term
+    ),
+    p AS MATERIALIZED (
+        SELECT lang, source, term, n, 1 + 1000000000::HUGEINT * (n + 2) // (sum(n) OVER (PARTITION BY lang, source) + 2 * v) AS p
+        FROM dense JOIN size USING (lang)
+    ),
+    q AS (
+        SELECT lang, term, 1 + 1000000000::HUGEINT * (n + 2) // (sum(n) OVER (PARTITION BY lang) + 2 * v) AS q
+        FROM kept JOIN size USING (lang)
+    ),
+    pair AS (
+        SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+        FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+        GROUP BY a.lang, a.source, b.source
+    ),
+    found AS (
+        SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(pair.value, 0) AS value
+        FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+        LEFT JOIN pair ON pair.lang = a.lang AND pair.source = a.source AND pair.item = b.source
+        UNION ALL
+        SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q)
+        FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q
+    )
+    SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+    FROM (
+        SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank
+        FROM found
+    ) WHERE part = 'pair' OR rank <= 10
+    """,
+)
+def op13_source_divergence(spark, sf_dir):
+    return divergence.divergence(read(spark, sf_dir, "documents"))
