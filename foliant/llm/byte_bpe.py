@@ -27,7 +27,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
 
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -184,11 +184,11 @@ def roundtrip(
     """id, n_tokens, ids_sha256 (decimal ids joined by a blank), decoded_sha256, with
     ``keep_ids`` also ids (array) and decoded (binary)."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = byte_bpe(path, pattern)
         for batch in batches:
             rows = []
-            for i, text in zip(batch["id"], batch["text"], strict=True):
+            for text in batch.column("text").to_pylist():
                 ids_hash, bytes_hash, n, kept, decoded = hashlib.sha256(), hashlib.sha256(), 0, [], []
                 for segment in segments(text or ""):
                     ids = bpe.encode(segment)
@@ -200,14 +200,15 @@ def roundtrip(
                     if keep_ids:
                         kept += ids
                         decoded.append(data)
-                row = (i, n, ids_hash.hexdigest(), bytes_hash.hexdigest())
+                row = (n, ids_hash.hexdigest(), bytes_hash.hexdigest())
                 rows.append((*row, kept, b"".join(decoded)) if keep_ids else row)
-            frame = pd.DataFrame(rows, columns=names)
-            yield frame.assign(id=frame["id"].astype("Int64"))
+            columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=False)]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), *columns], names=names)
 
     schema = "id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     if keep_ids:
         schema += ", ids array<long>, decoded binary"
     names = [c.split()[0] for c in schema.split(", ")]
+    types = [pa.int64(), pa.string(), pa.string(), pa.list_(pa.int64()), pa.binary()]
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInPandas(run, schema)
+    return rows.mapInArrow(run, schema)

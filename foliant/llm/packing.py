@@ -24,13 +24,13 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliant.llm.common import stored
-from foliant.llm.word_tokens import END_ID, document_ids, word_tokens
+from foliant.llm.word_tokens import END_ID, crc32_all, larger_batches, word_tokens
 from foliant.operators.joins import lookup
 
 WINDOW = 2_048
@@ -111,30 +111,57 @@ def repeats(histogram: dict[int, int], units: int) -> list[tuple[tuple[int, ...]
 def _tails(docs: DataFrame, path: str, window: int, unit: int, end_id: int) -> DataFrame:
     """One row per document: full windows and the tail, numbered within partition and bin."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_tokens(path)
-        part, pos, fulls, ranks = TaskContext.get().partitionId(), 0, 0, {}
-        step = 4 * window
-        for batch in batches:
-            rows = []
-            for i, text in zip(batch["id"], batch["text"], strict=True):
-                ids = document_ids(encoder, text, end_id)
-                cut = len(ids) // step * step
-                crcs = [zlib.crc32(ids[k : k + step]) for k in range(0, cut, step)]
-                rest = ids[cut:]
-                size = len(rest) // 4
-                which = -(-size // unit)
-                rank = ranks.get(which, 0)
-                ranks[which] = rank + 1
-                rows.append(
-                    (i, len(ids) // 4, part, pos, fulls, crcs, which, rank, size, zlib.crc32(rest), rest)
-                )
-                pos, fulls = pos + 1, fulls + len(crcs)
-            names = [c.split()[0] for c in _TAILS.split(", ")]
-            frame = pd.DataFrame(rows, columns=names)
-            yield frame.assign(id=frame["id"].astype("Int64"))
-
-    return docs.mapInPandas(run, _TAILS)
+        part, pos, fulls = TaskContext.get().partitionId(), 0, 0
+        ranks = np.zeros(-(-window // unit) + 1, np.int64)
+        for batch in larger_batches(batches):
+            ids, bounds = encoder.encode_column(batch.column("text"), end_id)
+            sizes = np.diff(bounds)
+            full, tails = np.divmod(sizes, window)
+            cuts = bounds[1:] - tails
+            # Checksums of the windows: each document's full ones, then its tail.
+            edges = np.repeat(bounds[:-1], full + 1) + window * _within(full + 1)
+            crcs = crc32_all(ids, np.append(edges, bounds[-1]))
+            last = np.cumsum(full + 1) - 1
+            is_full = np.ones(len(edges), bool)
+            is_full[last] = False
+            which = -(-tails // unit)
+            rank = ranks[which] + _place_within(which)
+            ranks += np.bincount(which, minlength=len(ranks))
+            before = fulls + np.cumsum(full) - full
+            view = ids.tobytes()
+            rests = [view[4 * a : 4 * b] for a, b in zip(cuts.tolist(), bounds[1:].tolist(), strict=True)]
+            columns = [
+                batch.column("id"),
+                pa.array(sizes),
+                pa.array(np.full(len(sizes), part, np.int32)),
+                pa.array(pos + np.arange(len(sizes))),
+                pa.array(before),
+                pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(full)).astype(np.int32)), pa.array(crcs[is_full])),
+                pa.array(which.astype(np.int32)),
+                pa.array(rank),
+                pa.array(tails.astype(np.int32)),
+                pa.array(crcs[last]),
+                pa.array(rests, pa.binary()),
+            ]
+            pos, fulls = pos + len(sizes), fulls + int(full.sum())
+            yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in _TAILS.split(", ")])
+
+    return docs.mapInArrow(run, _TAILS)
+
+
+def _within(sizes: np.ndarray) -> np.ndarray:
+    """0, 1, ... for each run of the given sizes."""
+    return np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+
+
+def _place_within(groups: np.ndarray) -> np.ndarray:
+    """How many equal values stand before each one."""
+    order = np.argsort(groups, kind="stable")
+    place = np.empty(len(groups), np.int64)
+    place[order] = _within(np.bincount(groups))
+    return place
 
 
 def _running(df: DataFrame, value: str, over: str, within: str | None = None) -> F.Column:
@@ -246,19 +273,20 @@ def pack(
     cut = rest.filter("head < tail").select("part", "pos", "at", "head")
     ids = rows.select("part", "pos", "id", "n", "tail", "tail_ids").join(cut, ["part", "pos"])
 
-    def halves(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def halves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for r in batch.itertuples(index=False):
-                first, head = int(r.at) // window, int(r.head)
-                a, b = r.tail_ids[: 4 * head], r.tail_ids[4 * head :]
-                begin = r.n - r.tail
-                out.append((r.id, begin, head, zlib.crc32(a), r.n, sequence + first, r.at % window))
-                out.append((r.id, begin + head, r.tail - head, zlib.crc32(b), r.n, sequence + first + 1, 0))
-            frame = pd.DataFrame(out, columns=names)
-            yield frame.assign(id=frame["id"].astype("Int64"))
+            n, tail, at, head = (batch.column(c).to_numpy().astype(np.int64) for c in ("n", "tail", "at", "head"))
+            pairs = list(zip(batch.column("tail_ids").to_pylist(), (4 * head).tolist(), strict=True))
+            first, begin = sequence + at // window, n - tail
+            two = [
+                (begin, head, [zlib.crc32(x[:k]) for x, k in pairs], n, first, at % window),
+                (begin + head, tail - head, [zlib.crc32(x[k:]) for x, k in pairs], n, first + 1, 0 * at),
+            ]
+            for half in two:
+                columns = [batch.column("id"), *(pa.array(c, pa.int64()) for c in half)]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     names = ["id", "start", "length", "crc", "n", "sequence_id", "offset"]
     schema = ", ".join(f"{c} long" for c in names)
-    split = ids.mapInPandas(halves, schema)
+    split = ids.mapInArrow(halves, schema)
     return fulls.unionByName(shaped).unionByName(whole).unionByName(split).select(*names)

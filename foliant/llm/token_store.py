@@ -12,8 +12,9 @@ is a block of documents in ascending id order:
 * ``frames``: the frames, one after the other, each readable alone.
 
 The dictionary is trained on a bounded sample (``SAMPLE_DOCS`` documents spread
-over the table by a hash of the id, ``SAMPLE_BYTES`` of each): it changes sizes,
-never contents. Too few samples to train on become a raw dictionary.
+over the table by a hash of the id, ``SAMPLE_BYTES`` of each, taken in pieces from
+all over the document): it changes sizes, never contents. Too few samples to train
+on become a raw dictionary.
 
 Defined cases: a null text is empty and has the end id alone; documents with
 equal or null ids keep a row each, null ids first, then ordered by their ids'
@@ -26,20 +27,23 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliant.llm.common import stored
-from foliant.llm.word_tokens import END_ID, document_ids, word_tokens
+from foliant.llm.word_tokens import END_ID, crc32_all, larger_batches, word_tokens
+from foliant.operators.joins import lookup
 from foliant.session import scratch_folder
 
 SAMPLE_DOCS = 2_000
 SAMPLE_BYTES = 8_192
+SAMPLE_PIECES = 8
 DICTIONARY_BYTES = 65_536
 BLOCK_BYTES = 1 << 20
 PART_BYTES = 16 << 20
@@ -49,10 +53,25 @@ _BLOCK = (
     "part int, block long, dictionary_sha256 string, width int, doc_ids array<bigint>, "
     "starts array<bigint>, counts array<bigint>, offsets array<bigint>, frames binary"
 )
+_ARROW = pa.schema(
+    [
+        ("part", pa.int32()),
+        ("block", pa.int64()),
+        ("dictionary_sha256", pa.string()),
+        ("width", pa.int32()),
+        *[(c, pa.list_(pa.int64())) for c in ("doc_ids", "starts", "counts", "offsets")],
+        ("frames", pa.binary()),
+    ]
+)
 
 
-def _narrow(ids: bytes, width: int) -> bytes:
-    return np.frombuffer(ids, "<u4").astype(f"<u{width}").tobytes()
+def _spread(ids: bytes, width: int) -> bytes:
+    """``SAMPLE_BYTES`` of a document, in pieces spread evenly over it."""
+    if len(ids) <= SAMPLE_BYTES:
+        return ids
+    size = SAMPLE_BYTES // SAMPLE_PIECES
+    step = (len(ids) - size) // (SAMPLE_PIECES - 1) // width * width
+    return b"".join(ids[k * step : k * step + size] for k in range(SAMPLE_PIECES))
 
 
 def _zdict(data: bytes):
@@ -73,47 +92,50 @@ def fit_dictionary(docs: DataFrame, path: str, width: int, sample_docs: int = SA
     """Train on about ``sample_docs`` documents of (id, text)."""
     every = max(1, docs.select("id").count() // sample_docs)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_tokens(path)
-        for batch in batches:
-            parts = [_narrow(document_ids(encoder, t), width)[:SAMPLE_BYTES] for t in batch["text"]]
-            yield pd.DataFrame({"sample": parts})
+        for batch in larger_batches(batches):
+            ids, bounds = encoder.encode_column(batch.column("text"))
+            narrow = ids.astype(f"<u{width}")
+            parts = [_spread(narrow[a:b].tobytes(), width) for a, b in pairwise(bounds.tolist())]
+            yield pa.RecordBatch.from_arrays([pa.array(parts, pa.binary())], names=["sample"])
 
     # A table whose ids are all equal or null would be sampled whole without the cap.
     chosen = docs.filter(F.pmod(F.xxhash64("id"), F.lit(every)) == 0).limit(2 * sample_docs)
-    rows = chosen.select("text").mapInPandas(run, "sample binary").toPandas()
+    rows = chosen.select("text").mapInArrow(run, "sample binary").toPandas()
     return train_dictionary([bytes(s) for s in rows["sample"]])
 
 
 def _encoded(docs: DataFrame, path: str, width: int, dictionary: bytes, end_id: int) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(dictionary)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_tokens(path)
         packer = zstandard.ZstdCompressor(level=LEVEL, dict_data=_zdict(shared.value))
-        for batch in batches:
-            ids = [document_ids(encoder, t, end_id) for t in batch["text"]]
-            yield pd.DataFrame(
-                {
-                    "id": batch["id"],
-                    "n": [len(x) // 4 for x in ids],
-                    "crc": [zlib.crc32(x) for x in ids],
-                    "frame": [packer.compress(_narrow(x, width)) for x in ids],
-                }
-            )
+        for batch in larger_batches(batches):
+            ids, bounds = encoder.encode_column(batch.column("text"), end_id)
+            narrow = ids.astype(f"<u{width}")
+            frames = [packer.compress(narrow[a:b].tobytes()) for a, b in pairwise(bounds.tolist())]
+            columns = [
+                batch.column("id"),
+                pa.array(np.diff(bounds)),
+                pa.array(crc32_all(ids, bounds)),
+                pa.array(frames, pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "n", "crc", "frame"])
 
-    return docs.mapInPandas(run, "id long, n long, crc long, frame binary")
+    return docs.mapInArrow(run, "id long, n long, crc long, frame binary")
 
 
 def _blocks(frames: DataFrame, width: int, digest: str | None, block_bytes: int) -> DataFrame:
     """Blocks of a range-partitioned, sorted table of frames."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, block, before = TaskContext.get().partitionId(), 0, 0
         held: list[tuple] = []
         size = 0
 
-        def flush() -> pd.DataFrame:
+        def flush() -> pa.RecordBatch:
             nonlocal block, before, held, size
             ids, counts, frames = zip(*held, strict=True)
             starts = before + np.cumsum([0, *counts[:-1]])
@@ -122,25 +144,26 @@ def _blocks(frames: DataFrame, width: int, digest: str | None, block_bytes: int)
                 "block": block,
                 "dictionary_sha256": digest,
                 "width": width,
-                "doc_ids": [None if pd.isna(i) else int(i) for i in ids],
+                "doc_ids": list(ids),
                 "starts": starts.tolist(),
                 "counts": list(counts),
                 "offsets": np.cumsum([0, *map(len, frames)]).tolist(),
                 "frames": b"".join(frames),
             }
             block, before, held, size = block + 1, before + sum(counts), [], 0
-            return pd.DataFrame([row])
+            return pa.RecordBatch.from_pylist([row], _ARROW)
 
         for batch in batches:
-            for i, n, frame in zip(batch["id"], batch["n"], batch["frame"], strict=True):
+            columns = (batch.column(c).to_pylist() for c in ("id", "n", "frame"))
+            for i, n, frame in zip(*columns, strict=True):
                 if held and size + len(frame) > block_bytes:
                     yield flush()
-                held.append((i, int(n), bytes(frame)))
+                held.append((i, n, frame))
                 size += len(frame)
         if held:
             yield flush()
 
-    return frames.select("id", "n", "frame").mapInPandas(run, _BLOCK)
+    return frames.select("id", "n", "frame").mapInArrow(run, _BLOCK)
 
 
 def write_store(
@@ -181,41 +204,31 @@ def read_store(spark, folder: str) -> DataFrame:
     blocks = spark.read.schema(_BLOCK).parquet(f"{folder}/blocks")
     known = {r[0]: bytes(r[1]) for r in spark.read.parquet(f"{folder}/dictionary").collect()}
     shared = spark.sparkContext.broadcast(known)
-    # One number per part file: the ids in it.
-    totals = (
-        blocks.select("part", F.aggregate("counts", F.lit(0).cast("long"), lambda a, c: a + c).alias("n"))
-        .groupBy("part")
-        .agg(F.sum("n").alias("n"))
-        .orderBy("part")
-        .collect()
-    )
-    before, base = 0, {}
-    for part, n in totals:
-        base[part], before = before, before + n
-    bases = spark.sparkContext.broadcast(base)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    # Ids before each part: one row per part file, numbered by a window over these rows.
+    added = F.aggregate("counts", F.lit(0).cast("long"), lambda a, c: a + c)
+    totals = stored(blocks.select("part", added.alias("n")).groupBy("part").agg(F.sum("n").alias("n")))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = stored(totals.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.itertuples(index=False):
-                dictionary = shared.value[row.dictionary_sha256]
-                opener = zstandard.ZstdDecompressor(dict_data=_zdict(dictionary))
+            for row in batch.to_pylist():
+                opener = zstandard.ZstdDecompressor(dict_data=_zdict(shared.value[row["dictionary_sha256"]]))
                 crcs, counts = [], []
-                for a, b in zip(row.offsets[:-1], row.offsets[1:], strict=True):
-                    ids = np.frombuffer(opener.decompress(row.frames[a:b]), f"<u{row.width}")
+                for a, b in pairwise(row["offsets"]):
+                    ids = np.frombuffer(opener.decompress(row["frames"][a:b]), f"<u{row['width']}")
                     counts.append(len(ids))
                     crcs.append(zlib.crc32(ids.astype("<u4").tobytes()))
-                yield pd.DataFrame(
-                    {
-                        "id": pd.array(
-                            [None if pd.isna(i) else int(i) for i in row.doc_ids], dtype="Int64"
-                        ),
-                        "start": np.asarray(row.starts, np.int64) + bases.value[row.part],
-                        "n": counts,
-                        "crc": crcs,
-                    }
-                )
-
-    return blocks.mapInPandas(run, "id long, start long, n long, crc long")
+                columns = [
+                    pa.array(row["doc_ids"], pa.int64()),
+                    pa.array(np.array(row["starts"], np.int64) + row["base"]),
+                    pa.array(counts, pa.int64()),
+                    pa.array(crcs, pa.int64()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "start", "n", "crc"])
+
+    placed = lookup(blocks, bases, "part")
+    return placed.mapInArrow(run, "id long, start long, n long, crc long")
 
 
 def roundtrip(docs: DataFrame, path: str, **options) -> DataFrame:

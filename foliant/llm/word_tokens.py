@@ -2,23 +2,30 @@
 
 Encoding goes through the library. Texts made of ASCII and Latin letters only
 take a shorter way to the same ids: there the library's normalising is
-lower-casing and its splitting one pattern, so each distinct piece is handed to
-the library's model once and remembered. Any other text, and any vocabulary with
-another normaliser or splitter, goes through the library whole.
+lower-casing and its splitting one pattern. Arrow splits a batch of them at white
+space and numbers its distinct words; each distinct word is cut into pieces, a
+piece is handed to the library's model, and both are remembered. Any other text,
+and any vocabulary with another normaliser or splitter, goes through the library
+whole.
 """
 
 from __future__ import annotations
 
 import json
 import re
+import string
 import zlib
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 END_ID = 1
-_KEEP = 150_000  # remembered words, and pieces, of a worker
+_KEEP = 64 << 20  # bytes of remembered words, and of pieces, in a worker
+_ENTRY = 200  # of them an entry takes beside its characters and ids
 
 # The splitter of the lower-casing word vocabulary.
 _SPLITTER = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -26,10 +33,11 @@ _SPLITTER = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _LATIN = "À-ÖØ-öø-įı-ň Ŋ-ɏ".replace(" ", "")
 # Letters that stay Latin when lower-cased: some capitals lower to letters beyond U+024F.
 _LETTERS = [c for c in map(chr, range(0xC0, 0x250)) if re.fullmatch(f"[{_LATIN}]+", c + c.lower())]
-_PLAIN = re.compile(rf"[\t\n\r -~{''.join(_LETTERS)}]*")
+_PLAIN = rf"\A[\t\n\r -~{''.join(_LETTERS)}]*\z"
 _PIECE = re.compile(
     rf"'s|'t|'re|'ve|'m|'ll|'d|[a-z{_LATIN}]+|[0-9]|[^\sa-z0-9{_LATIN}]+"
 )
+_MARKS = string.punctuation
 
 
 def _byte_chars() -> dict[int, str]:
@@ -39,43 +47,62 @@ def _byte_chars() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
 
 
-class _Pieces(dict):
+class _Recent(dict):
+    """key -> ids, for the keys used last: when half of ``keep`` bytes are full, the
+    older half makes room. ``make`` finds the ids of a key that is not remembered."""
+
+    def __init__(self, keep: int):
+        super().__init__()
+        self.room = self.half = keep // 2
+        self.older: dict = {}
+
+    def __missing__(self, key):
+        ids = self.older.get(key)
+        if ids is None:
+            ids = self.make(key)
+        self.room -= len(key) + len(ids) + _ENTRY
+        if self.room < 0:
+            self.older = dict(self)
+            self.clear()
+            self.room = self.half
+        self[key] = ids
+        return ids
+
+
+class _Pieces(_Recent):
     """piece -> its ids as little-endian unsigned 32-bit integers."""
 
     def __init__(self, model):
-        super().__init__()
+        super().__init__(_KEEP)
         self.model = model
         self.chars = _byte_chars()
 
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= _KEEP:
-            self.clear()
+    def make(self, piece: str) -> bytes:
         name = piece
         if not (piece.isascii() and piece.isprintable()):
             name = piece.encode().decode("latin-1").translate(self.chars)
-        ids = np.array([t.id for t in self.model.tokenize(name)], "<u4").tobytes()
-        self[piece] = ids
-        return ids
+        return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(name)])
 
 
-class _Words(dict):
-    """Run of characters without white space, in UTF-8 -> its ids."""
+class _Words(_Recent):
+    """Run of characters without white space -> its ids."""
 
     def __init__(self, pieces: _Pieces):
-        super().__init__()
+        super().__init__(_KEEP)
         self.pieces = pieces
 
-    def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= _KEEP:
-            self.clear()
-        found = _PIECE.findall(word.decode().lower())
-        self[word] = ids = b"".join(map(self.pieces.__getitem__, found))
-        return ids
+    def make(self, word: str) -> bytes:
+        low = word.lower()
+        if low.isalpha():
+            return self.pieces[low]
+        core = low.rstrip(_MARKS)
+        if core.isalpha():  # a word and one run of marks
+            return self.pieces[core] + self.pieces[low[len(core) :]]
+        return b"".join(map(self.pieces.__getitem__, _PIECE.findall(low)))
 
 
 class WordTokens:
-    """``encode(text)`` gives the ids of a text, without special tokens around it,
-    as bytes of little-endian unsigned 32-bit integers."""
+    """``encode_column`` gives the ids of texts, without special tokens around them."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -95,14 +122,46 @@ class WordTokens:
         )
         self.words = _Words(_Pieces(self.tokenizer.model))
 
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def encode(self, text: str | None) -> bytes:
-        text = text or ""
-        if self.plain and _PLAIN.fullmatch(text) and not any(s in text for s in self.special):
-            return b"".join(map(self.words.__getitem__, text.encode().split()))
-        return self.whole(text)
+    def whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+
+    def _plain_ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of plain texts one after the other, and how many each has."""
+        lists = pc.ascii_split_whitespace(texts)
+        coded = lists.flatten().dictionary_encode()
+        at = coded.indices.to_numpy(zero_copy_only=False)
+        found = list(map(self.words.__getitem__, coded.dictionary.to_numpy(zero_copy_only=False)))
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) >> 2
+        known = np.frombuffer(b"".join(found), "<u4")
+        size = sizes[at]
+        ends = np.concatenate([[0], np.cumsum(size)])
+        source = np.repeat((np.cumsum(sizes) - sizes)[at] - ends[:-1], size)
+        source += np.arange(len(source))
+        offsets = lists.offsets.to_numpy()
+        return known[source], np.diff(ends[offsets - offsets[0]])
+
+    def _plain(self, texts: pa.Array) -> np.ndarray:
+        if not self.plain:
+            return np.zeros(len(texts), bool)
+        plain = pc.match_substring_regex(texts, _PLAIN)
+        for special in self.special:
+            plain = pc.and_not(plain, pc.match_substring(texts, special))
+        return plain.to_numpy(zero_copy_only=False)
+
+    def encode_column(self, texts: pa.Array, end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
+        """All ids as unsigned 32-bit integers, each text followed by ``end_id``, and
+        the bounds of the texts in them (one more than texts). A null is an empty text."""
+        texts = texts.cast(pa.large_string()).fill_null("")
+        plain = self._plain(texts)
+        ids, counts = self._plain_ids(texts.filter(pa.array(plain)))
+        if not plain.all():
+            shares = np.split(ids, np.cumsum(counts)[:-1]) if len(counts) else []
+            parts = iter(shares)
+            every = [next(parts) if p else self.whole(t.as_py()) for p, t in zip(plain, texts, strict=True)]
+            ids, counts = np.concatenate(every), np.array([len(x) for x in every], np.int64)
+        ends = np.cumsum(counts)
+        bounds = np.concatenate([[0], ends + np.arange(1, len(ends) + 1)])
+        return np.insert(ids, ends, end_id).astype("<u4", copy=False), bounds
 
 
 @lru_cache(maxsize=2)
@@ -111,9 +170,22 @@ def word_tokens(path: str) -> WordTokens:
     return WordTokens(path)
 
 
-def document_ids(encoder: WordTokens, text: str | None, end_id: int = END_ID) -> bytes:
-    return encoder.encode(text) + end_id.to_bytes(4, "little")
-
-
-def crc32_of(ids: bytes) -> int:
-    return zlib.crc32(ids)
+def larger_batches(batches: Iterator[pa.RecordBatch], most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Consecutive batches joined to about ``most`` bytes: fewer distinct words for the same rows."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= most:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
+def crc32_all(ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Checksum of every text's ids as little-endian unsigned 32-bit integers."""
+    view = memoryview(np.ascontiguousarray(ids, "<u4")).cast("B")
+    spans = zip((4 * bounds[:-1]).tolist(), (4 * bounds[1:]).tolist(), strict=True)
+    return np.fromiter((zlib.crc32(view[a:b]) for a, b in spans), np.int64, len(bounds) - 1)

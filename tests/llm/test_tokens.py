@@ -1,9 +1,11 @@
 """Encoders, token files and packing against the libraries."""
 
 from collections import defaultdict
+from itertools import pairwise
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 from brute import crc, sha
@@ -49,15 +51,36 @@ texts = st.text(st.one_of(st.characters(exclude_categories=["Cs"]), st.sampled_f
 @settings(max_examples=400, deadline=None)
 @given(text=texts)
 def test_word_tokens_are_the_library_s(words, library, text):
-    assert np.frombuffer(words.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    ids, bounds = words.encode_column(pa.array([text, None, text + " x", "plain"]))
+    want = [ids_of(library, t) for t in (text, None, text + " x", "plain")]
+    assert [ids[a:b].tolist() for a, b in pairwise(bounds)] == want
 
 
 def test_every_plain_character_is_the_library_s(words, library):
     """Also the capitals that lower-case to letters beyond the plain ones."""
-    for c in map(chr, range(1, 0x250)):
-        for text in (f"ab{c}ba", f"{c}aba spoke", f"x {c} 1{c}"):
-            ids = library.encode(text, add_special_tokens=False).ids
-            assert np.frombuffer(words.encode(text), "<u4").tolist() == ids, text
+    texts = [t for c in map(chr, range(1, 0x250)) for t in (f"ab{c}ba", f"{c}aba spoke", f"x {c} 1{c}")]
+    ids, bounds = words.encode_column(pa.array(texts))
+    for text, a, b in zip(texts, bounds, bounds[1:], strict=False):
+        assert ids[a:b].tolist() == ids_of(library, text), text
+
+
+def test_words_are_forgotten_by_bytes(library):
+    few = WordTokens(WORDS)
+    few.words.half = few.words.room = 3_000
+    texts = [f"word{k % 37} " * 3 + "x" * (k % 50) + f".{k}!? it's" for k in range(300)]
+    for _ in range(2):
+        ids, bounds = few.encode_column(pa.array(texts))
+        assert [ids[a:b].tolist() for a, b in pairwise(bounds)] == [ids_of(library, t) for t in texts]
+        assert len(few.words) + len(few.words.older) < 40
+
+
+def test_ids_stay_exact_beside_null_ids(spark):
+    big = 2**60 + 1
+    df = frame(spark, [(big, "one text"), (None, "no id"), (big + 1, "two")]).coalesce(1)
+    want = {None, big, big + 1}
+    assert {r.id for r in token_store.roundtrip(df, WORDS).collect()} == want
+    assert {r.id for r in packing.pack(df, WORDS).collect()} == want
+    assert {r.id for r in byte_bpe.roundtrip(df, RANKS, P.PATTERN).collect()} == want
 
 
 @settings(max_examples=400, deadline=None)
