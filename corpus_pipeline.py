@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliant.llm import near_copies, packing, quality, toxicity
+from foliant.llm import packing, quality, simhash, toxicity
 from foliant.llm.common import bounded_batches, read, stored, tokenizer_path
 from foliant.session import ship_package
 
@@ -60,10 +60,10 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of texts linked by an exact five-word Jaccard of 0.8 or
-    more: the one with the smallest id (no id comes last; equal ids go by the hash of their text)."""
+    """One document of each group that SimHash links by its contract, three words and three
+    bits: the one with the smallest id (no id comes last; equal ids go by the hash of their text)."""
     _prepare(spark)
-    groups = near_copies.near_copies(docs)
+    groups = simhash.near_duplicates(docs)
     key = ["unnamed", "id", "digest"]
 
     def keyed(rows, id_col, digest, *more):
