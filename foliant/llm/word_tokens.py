@@ -3,10 +3,10 @@
 Encoding goes through the library. Texts made of ASCII and Latin letters only
 take a shorter way to the same ids: there the library's normalising is
 lower-casing and its splitting one pattern. Arrow splits a batch of them at white
-space and numbers its distinct words; each distinct word is cut into pieces, a
-piece is handed to the library's model, and both are remembered. Any other text,
-and any vocabulary with another normaliser or splitter, goes through the library
-whole.
+space, numbers its distinct words, and cuts those that are letters with marks
+behind them into the two; a pattern cuts the few others. Each distinct piece is
+handed to the library's model and remembered. Any other text, and any vocabulary
+with another normaliser or splitter, goes through the library whole.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 END_ID = 1
-_KEEP = 64 << 20  # bytes of remembered words, and of pieces, in a worker
+_KEEP = 96 << 20  # bytes of remembered pieces in a worker
 _ENTRY = 200  # of them an entry takes beside its characters and ids
 
 # The splitter of the lower-casing word vocabulary.
@@ -38,6 +38,7 @@ _PIECE = re.compile(
     rf"'s|'t|'re|'ve|'m|'ll|'d|[a-z{_LATIN}]+|[0-9]|[^\sa-z0-9{_LATIN}]+"
 )
 _MARKS = string.punctuation
+_ALPHABET = string.ascii_lowercase + "".join(_LETTERS)
 
 
 def _byte_chars() -> dict[int, str]:
@@ -84,21 +85,28 @@ class _Pieces(_Recent):
         return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(name)])
 
 
-class _Words(_Recent):
-    """Run of characters without white space -> its ids."""
+class _Mixed(_Recent):
+    """Lower-case run of letters, digits and marks -> its ids."""
 
     def __init__(self, pieces: _Pieces):
-        super().__init__(_KEEP)
+        super().__init__(_KEEP // 4)
         self.pieces = pieces
 
     def make(self, word: str) -> bytes:
-        low = word.lower()
-        if low.isalpha():
-            return self.pieces[low]
-        core = low.rstrip(_MARKS)
-        if core.isalpha():  # a word and one run of marks
-            return self.pieces[core] + self.pieces[low[len(core) :]]
-        return b"".join(map(self.pieces.__getitem__, _PIECE.findall(low)))
+        return b"".join(map(self.pieces.__getitem__, _PIECE.findall(word)))
+
+
+def _gather(known: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Entries ``at`` of a table one after the other, and their sizes. The table has
+    its entries, of the given sizes, one after the other in ``known``."""
+    size = sizes[at]
+    source = np.repeat((np.cumsum(sizes) - sizes)[at] - (np.cumsum(size) - size), size)
+    source += np.arange(len(source))
+    return known[source], size
+
+
+def _strings(texts: pa.Array) -> np.ndarray:
+    return texts.to_numpy(zero_copy_only=False)
 
 
 class WordTokens:
@@ -120,25 +128,40 @@ class WordTokens:
             and not split[1]["add_prefix_space"]
             and not split[1]["use_regex"]
         )
-        self.words = _Words(_Pieces(self.tokenizer.model))
+        self.pieces = _Pieces(self.tokenizer.model)
+        self.mixed = _Mixed(self.pieces)
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
+    def _word_ids(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of plain words one after the other, and how many each has."""
+        low = pc.utf8_lower(words)
+        core = pc.utf8_rtrim(low, _MARKS)
+        letters = _strings(pc.utf8_is_alpha(core)).astype(bool)
+        named = pa.array(letters)
+        cores = core.filter(named).dictionary_encode()
+        marks = pc.utf8_ltrim(low.filter(named), _ALPHABET).dictionary_encode()
+        others = _strings(low.filter(pa.array(~letters)))
+        found = [self.pieces[x] for part in (cores, marks) for x in _strings(part.dictionary)]
+        before = len(cores.dictionary)
+        at = np.full((len(words), 2), len(found) + len(others))
+        at[letters, 0] = _strings(cores.indices)
+        at[letters, 1] = before + _strings(marks.indices)
+        at[~letters, 0] = len(found) + np.arange(len(others))
+        found += [*map(self.mixed.__getitem__, others), b""]
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) >> 2
+        ids, size = _gather(np.frombuffer(b"".join(found), "<u4"), sizes, at.ravel())
+        return ids, size.reshape(-1, 2).sum(axis=1)
+
     def _plain_ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of plain texts one after the other, and how many each has."""
         lists = pc.ascii_split_whitespace(texts)
         coded = lists.flatten().dictionary_encode()
-        at = coded.indices.to_numpy(zero_copy_only=False)
-        found = list(map(self.words.__getitem__, coded.dictionary.to_numpy(zero_copy_only=False)))
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) >> 2
-        known = np.frombuffer(b"".join(found), "<u4")
-        size = sizes[at]
+        ids, size = _gather(*self._word_ids(coded.dictionary), _strings(coded.indices))
         ends = np.concatenate([[0], np.cumsum(size)])
-        source = np.repeat((np.cumsum(sizes) - sizes)[at] - ends[:-1], size)
-        source += np.arange(len(source))
         offsets = lists.offsets.to_numpy()
-        return known[source], np.diff(ends[offsets - offsets[0]])
+        return ids, np.diff(ends[offsets - offsets[0]])
 
     def _plain(self, texts: pa.Array) -> np.ndarray:
         if not self.plain:

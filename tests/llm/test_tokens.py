@@ -66,12 +66,13 @@ def test_every_plain_character_is_the_library_s(words, library):
 
 def test_words_are_forgotten_by_bytes(library):
     few = WordTokens(WORDS)
-    few.words.half = few.words.room = 3_000
+    for memory in (few.pieces, few.mixed):
+        memory.half = memory.room = 3_000
     texts = [f"word{k % 37} " * 3 + "x" * (k % 50) + f".{k}!? it's" for k in range(300)]
     for _ in range(2):
         ids, bounds = few.encode_column(pa.array(texts))
         assert [ids[a:b].tolist() for a, b in pairwise(bounds)] == [ids_of(library, t) for t in texts]
-        assert len(few.words) + len(few.words.older) < 40
+        assert len(few.pieces) + len(few.pieces.older) < 40 and len(few.mixed) + len(few.mixed.older) < 40
 
 
 def test_ids_stay_exact_beside_null_ids(spark):
