@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from foliant.operators import pairs
 from foliant.operators.components import connected_components
 from foliant.operators.joins import lookup
+from foliant.operators.merge_tree import cut_tree, ward_merges
 from foliant.operators.ordered import running_totals
 from foliant.operators.reduction import pca
 from foliant.session import durable
@@ -209,13 +210,12 @@ def number_labels(labels: DataFrame) -> DataFrame:
     return counted.select("label", (F.col("cum_one") - 1).cast("int").alias("cluster"))
 
 
-def hierarchical(
+def bisecting(
     df: DataFrame, k: int = 5, seed: int = 42, *, id_col: str = "id", col: str = "embedding"
 ) -> DataFrame:
     """Top-down hierarchical clustering (bisecting k-means): id, cluster.
 
-    A merge tree over all pairs does not distribute; the divisive tree does.
-    Labels therefore differ from those of an agglomerative method.
+    Linear in the rows; labels differ from those of the merge tree.
 
     A split moves a center in proportion to its norm, so rows centred on zero
     would never split. All rows move by one constant, the largest absolute
@@ -231,6 +231,34 @@ def hierarchical(
     return model.transform(data).select(id_col, "cluster")
 
 
+def ward(df: DataFrame, k: int = 5, *, id_col: str = "id", col: str = "embedding", **options) -> DataFrame:
+    """Agglomerative clustering by Ward's cost: id, cluster, numbered by first id.
+
+    Exact, hence quadratic in the distinct points; see ``merge_tree``.
+    """
+    tree = durable(ward_merges(df, id_col=id_col, col=col, **options))
+    labels = durable(cut_tree(df.select(id_col), tree, k, id_col=id_col))
+    numbers = durable(number_labels(labels.select("label").distinct()))
+    return lookup(labels, numbers, "label").select(id_col, "cluster")
+
+
+def hierarchical(
+    df: DataFrame,
+    k: int = 5,
+    seed: int = 42,
+    linkage: str = "ward",
+    *,
+    id_col: str = "id",
+    col: str = "embedding",
+) -> DataFrame:
+    """id, cluster: the exact Ward tree, or with ``linkage="bisecting"`` the linear divisive one."""
+    if linkage == "ward":
+        return ward(df, k, id_col=id_col, col=col)
+    if linkage == "bisecting":
+        return bisecting(df, k, seed, id_col=id_col, col=col)
+    raise ValueError(f"linkage is ward or bisecting, not {linkage}")
+
+
 def cluster_documents(
     df: DataFrame,
     method: str = "kmeans",
@@ -252,7 +280,9 @@ def cluster_documents(
     elif method == "dbscan":
         labels = dbscan(points, eps, min_samples, id_col=id_col, col=col)
     elif method == "hierarchical":
-        labels = hierarchical(points, k or 5, id_col=id_col, col=col)
+        labels = ward(points, k or 5, id_col=id_col, col=col)
+    elif method == "bisecting":
+        labels = bisecting(points, k or 5, id_col=id_col, col=col)
     else:
         raise ValueError(f"Unknown clustering method: {method}")
     return points.join(labels, id_col)

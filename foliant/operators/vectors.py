@@ -32,6 +32,17 @@ def vector_tokens(
     return ngrams(tokens, *ngram)
 
 
+def _to_length_one(entries: Column) -> Column:
+    """array<struct<index, tf, weight>> of array<struct<index, tf, raw>>."""
+    norm = F.sqrt(F.aggregate(entries, F.lit(0.0), lambda acc, t: acc + t["raw"] * t["raw"]))
+    return let(
+        norm,
+        lambda n: F.transform(
+            entries, lambda t: F.struct(t["index"], t["tf"], (t["raw"] / n).alias("weight"))
+        ),
+    )
+
+
 @dataclass
 class Vocabulary:
     """A fitted vocabulary: at most ``max_features`` rows, hence broadcastable.
@@ -49,56 +60,51 @@ class Vocabulary:
     def tokens(self, text: Column) -> Column:
         return vector_tokens(text, self.ngram, self.stopwords)
 
-    def _entries(self, docs: DataFrame, id_col: str, text: str) -> DataFrame:
-        """id, entries: array<struct<term, index, tf, idf>> of the known terms, by index.
+    def _entries(self, docs: DataFrame, id_col: str, text: str, finish) -> tuple[DataFrame, Column]:
+        """Rows, and the array that ``finish`` makes of their array<struct<index, tf, raw>>, by index.
 
-        Map-only: the counts come as a sparse vector, terms and idf from constants of
-        at most ``max_features`` entries. Documents without a known term are absent.
+        Map-only. The counted vector is bound once, and neither a filter nor a generator
+        sees the array as a column: its conditions would move below the counting and
+        count every text again.
         """
         known = docs.select(id_col, text).filter(F.col(text).isNotNull())
-        counted = self.count_vectors(known, text=text, output="_counts").select(
-            id_col, F.unwrap_udt("_counts").alias("_counts")
-        )
-        terms = F.split(F.lit("\n".join(self.terms)), "\n")
         idf = F.split(F.lit("\n".join(map(repr, self.idf))), "\n").cast("array<double>")
-        entries = F.zip_with(
-            "_counts.indices",
-            "_counts.values",
-            lambda i, n: F.struct(
-                F.get(terms, i).alias("term"),
-                i.alias("index"),
-                n.cast("long").alias("tf"),
-                F.get(idf, i).alias("idf"),
-            ),
-        )
-        return counted.select(id_col, entries.alias("entries")).filter(F.size("entries") > 0)
+
+        def entries(v: Column) -> Column:
+            return F.zip_with(
+                v["indices"],
+                v["values"],
+                lambda i, n: F.struct(
+                    i.alias("index"), n.cast("long").alias("tf"), (n * F.get(idf, i)).alias("raw")
+                ),
+            )
+
+        counted = self.count_vectors(known, text=text, output="_counts")
+        return counted, let(F.unwrap_udt("_counts"), lambda v: let(entries(v), finish))
+
+    def _named(self, rows: DataFrame, entries: Column, id_col: str, *columns: Column | str) -> DataFrame:
+        """One row per entry, with its term."""
+        terms = F.split(F.lit("\n".join(self.terms)), "\n")
+        long = rows.select(id_col, F.inline(entries))
+        return long.select(id_col, F.get(terms, F.col("index")).alias("term"), "index", *columns)
 
     def term_rows(self, docs: DataFrame, *, id_col: str = "doc_id", text: str = "text") -> DataFrame:
         """id, term, index, tf, idf of the known terms; unseen terms vanish."""
-        return self._entries(docs, id_col, text).select(id_col, F.inline("entries"))
+        rows, entries = self._entries(docs, id_col, text, lambda e: e)
+        return self._named(rows, entries, id_col, "tf", (F.col("raw") / F.col("tf")).alias("idf"))
 
     def weight_rows(
         self, docs: DataFrame, *, id_col: str = "doc_id", text: str = "text"
     ) -> DataFrame:
-        """id, terms: array<struct<term, index, tf, weight>> scaled to length 1."""
-
-        def raw(t: Column) -> Column:
-            return t["tf"] * t["idf"]
-
-        norm = F.sqrt(F.aggregate("entries", F.lit(0.0), lambda acc, t: acc + raw(t) * raw(t)))
-        # Bound once per row: inlined into the lambda it would be computed per term.
-        scaled = let(
-            norm,
-            lambda n: F.transform(
-                "entries",
-                lambda t: F.struct(t["term"], t["index"], t["tf"], (raw(t) / n).alias("weight")),
-            ),
-        )
-        return self._entries(docs, id_col, text).select(id_col, scaled.alias("terms"))
+        """id, terms: array<struct<index, tf, weight>> scaled to length 1; empty without known terms."""
+
+        rows, entries = self._entries(docs, id_col, text, _to_length_one)
+        return rows.select(id_col, entries.alias("terms"))
 
     def weights(self, docs: DataFrame, *, id_col: str = "doc_id", text: str = "text") -> DataFrame:
         """Long TF-IDF: id, term, index, tf, weight."""
-        return self.weight_rows(docs, id_col=id_col, text=text).select(id_col, F.inline("terms"))
+        rows, entries = self._entries(docs, id_col, text, _to_length_one)
+        return self._named(rows, entries, id_col, "tf", "weight")
 
     def count_stage(self, output: str = "counts") -> CountVectorizerModel:
         return CountVectorizerModel.from_vocabulary(

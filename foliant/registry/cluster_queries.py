@@ -8,6 +8,7 @@ from foliant.functions import charts
 from foliant.operators import cluster_metrics as Q
 from foliant.operators import clustering as C
 from foliant.operators import pairs
+from foliant.operators.merge_tree import ward_merges
 from foliant.operators.reduction import projection
 from foliant.registry.base import query, table, texts
 from foliant.registry.metric_queries import CENTERS_SQL, rounded
@@ -107,6 +108,45 @@ def hierarchical(spark, sf_dir):
     return C.hierarchical(vectors(spark, sf_dir), 5)
 
 
+@query("C4_bisecting")
+def bisecting(spark, sf_dir):
+    return C.hierarchical(vectors(spark, sf_dir), 5, linkage="bisecting")
+
+
+@query(
+    "C4_ward_heights",
+    """WITH x AS (SELECT unnest(embedding)::DOUBLE AS x, unnest(generate_series(1, len(embedding))) AS dim FROM embeddings)
+    SELECT (SELECT count(*) - 1 FROM embeddings) AS merges,
+      (SELECT count(*) - count(DISTINCT embedding) FROM embeddings) AS copies,
+      round((SELECT sum((x - m) * (x - m)) FROM x JOIN (SELECT dim, avg(x) AS m FROM x GROUP BY dim) USING (dim)), 6)
+        AS total_height""",
+)
+def ward_heights(spark, sf_dir):
+    """All merges together grow the sum of squares from nothing to the whole."""
+    tree = ward_merges(vectors(spark, sf_dir))
+    return tree.agg(
+        F.count("*").alias("merges"),
+        F.count_if(F.col("height") == 0).alias("copies"),
+        F.round(F.sum("height"), 6).alias("total_height"),
+    )
+
+
+@query(
+    "C4_ward_planted",
+    """SELECT vec_id AS id, CAST(dense_rank() OVER (ORDER BY first) - 1 AS INTEGER) AS cluster
+    FROM (SELECT vec_id, min(vec_id) OVER (PARTITION BY label) AS first FROM embeddings)""",
+)
+def ward_planted(spark, sf_dir):
+    """Labels moved far apart are what the tree cuts last."""
+    moved = table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("id"),
+        "label",
+        F.concat(F.col("embedding").cast("array<double>"), F.array(F.col("label") * 1000.0)).alias("embedding"),
+    )
+    groups = moved.select("label").distinct().count()
+    return C.ward(moved.select("id", "embedding"), groups)
+
+
 @query("C5_cluster_documents")
 def cluster_documents(spark, sf_dir):
     return C.cluster_documents(vectors(spark, sf_dir), "kmeans", 5).select("id", "cluster")
@@ -114,7 +154,8 @@ def cluster_documents(spark, sf_dir):
 
 @query("C6_compare_clusterings")
 def compare_clusterings(spark, sf_dir):
-    return C.compare_clusterings(vectors(spark, sf_dir), ["kmeans", "dbscan", "hierarchical", "hdbscan"])
+    methods = ["kmeans", "dbscan", "hierarchical", "bisecting"]
+    return C.compare_clusterings(vectors(spark, sf_dir), methods, reduce=False, eps=EPS, min_samples=MIN_SAMPLES)
 
 
 ASSIGNED_SQL = """WITH docs AS (SELECT doc_id, source || '/' || doc_id || '.txt' AS file_path FROM documents),

@@ -51,8 +51,11 @@ def test_raw_length_filter_runs_before_cleaning(docs):
 def test_vectors_need_no_shuffle(docs):
     model = V.fit_vocabulary(docs.select("doc_id", "text"), max_features=50)
     assert "Exchange" not in plan(model.tfidf_vectors(docs.select("doc_id", "text")))
-    long = plan(model.weights(docs.select("doc_id", "text")))
-    assert "Exchange" not in long
+    # Every text is split and counted once, whatever is made of the counts.
+    for make in (model.weights, model.term_rows, model.weight_rows):
+        long = plan(make(docs.select("doc_id", "text")))
+        assert "Exchange" not in long
+        assert long.count("regexp_extract_all") == 1 and long.count("UDF(") == 1
 
 
 def test_validation_joins_no_file_body(spark, tmp_path):

@@ -70,6 +70,12 @@ def test_svd_reconstructs_norms(spark):
     s = np.linalg.svd(x, compute_uv=False)
     assert np.linalg.norm(got, axis=0) == pytest.approx(s[:3])
     assert got.T @ got == pytest.approx(np.diag(s[:3] ** 2), abs=1e-8)
+    # Most of these partitions are empty, whatever the number of cores.
+    spread = R.svd(model.weight_rows(df.repartition(23)), len(model.terms), 3)
+    again = np.array([r.reduced for r in spread.orderBy("doc_id").collect()])
+    assert np.abs(again) == pytest.approx(np.abs(got))
+    none = R.svd(model.weight_rows(df.limit(0)), len(model.terms), 3)
+    assert none.collect() == []
 
 
 def test_pca_is_centred_and_ordered(spark):
