@@ -7,10 +7,11 @@ attention, softmax over the bag of w . (tanh(V h) * sigmoid(U h)), weighs the
 passages; the score is the logistic of a linear form of the weighted sum. Only the
 label of the document is known; encoder, gates and score are learned together.
 
-Training takes at most ``MOST_LABELLED`` labelled documents (each at most
-``MOST_PASSAGES`` passages, spread evenly, of a very long one) and runs on the
-driver: the bound is fixed whatever the table. Scoring is map-only, over every
-passage of every text.
+Training takes at most ``MOST_LABELLED`` labelled documents, in the order of a hash,
+whose passages fill at most ``MOST_BYTES``, and runs on the driver: the bounds are
+fixed whatever the table. A document in the sample is there with every passage; one
+that alone would fill more than a sixteenth of the room is left out of it. Scoring is
+map-only, over every passage of every text.
 
 Defined cases: a null text is empty; an empty text is one empty passage and gets a
 score; without any labelled row the score is 0.5; repeated rows and null ids are
@@ -23,16 +24,16 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from foliant.llm.common import stored
 from foliant.llm.labelled import held_out, training_sample
 
 PASSAGE = 512
 MOST_LABELLED = 4_000
-MOST_PASSAGES = 64
+MOST_BYTES = 64 << 20  # of described passages
 HIDDEN = 32
 GATE = 16
 THRESHOLD = 0.3
@@ -197,19 +198,35 @@ class AttentionModel:
         return out
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> AttentionModel:
-    """Train on a bounded sample. ``docs``: id, text; ``labels``: id, label."""
+def _bags(docs: DataFrame, labels: DataFrame, most: int, most_bytes: int) -> DataFrame:
+    """key, x (described passages), y of the sampled documents."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for text, label in zip(batch["text"], batch["label"], strict=True):
+            for key, text, label in zip(*(batch.column(c).to_pylist() for c in ("key", "text", "label")), strict=True):
                 x, _ = describe([(text or "").encode("utf-8", "surrogatepass")])
-                if len(x) > MOST_PASSAGES:
-                    x = x[np.linspace(0, len(x) - 1, MOST_PASSAGES).astype(int)]
-                yield pd.DataFrame({"x": [x.astype(np.float16).tobytes()], "y": [label]})
-
-    sample = training_sample(docs, labels, "label", most).select("id", "text", "label")
-    rows = sample.orderBy("id").select("text", "label").mapInPandas(run, "x binary, y int").toPandas()
+                columns = [
+                    pa.array([key], pa.int64()),
+                    pa.array([x.astype(np.float16).tobytes()], pa.binary()),
+                    pa.array([label], pa.int32()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "x", "y"])
+
+    sample = training_sample(docs, labels, "label", most)
+    keyed = sample.select(F.xxhash64("id", "text").alias("key"), "text", "label")
+    rows = stored(keyed.mapInArrow(run, "key long, x binary, y int"))
+    # At most ``most`` rows of two numbers.
+    sizes = rows.select("key", F.length("x").cast("long").alias("size")).filter(F.col("size") <= most_bytes // 16)
+    order = Window.orderBy("key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    kept = sizes.withColumn("filled", F.sum("size").over(order)).filter(F.col("filled") <= most_bytes)
+    return rows.join(F.broadcast(kept.select("key").distinct()), "key", "left_semi")
+
+
+def fit_quality(
+    docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED, most_bytes: int = MOST_BYTES
+) -> AttentionModel:
+    """Train on a bounded sample. ``docs``: id, text; ``labels``: id, label."""
+    rows = _bags(docs, labels, most, most_bytes).orderBy("key", "y").toPandas()
     bags = [np.frombuffer(b, np.float16).reshape(-1, FEATURES) for b in rows["x"]]
     if not bags:
         return AttentionModel()
