@@ -13,8 +13,8 @@ digest and 1 of length each. Equal texts have equal fingerprints; the fingerprin
 of an empty text is the empty string, and two of those are alike (1.0).
 
 Defined cases: a null text is empty; ids are ordered with nulls last in the
-descending order, equal ids by the hash of their text; a table of one row is
-its own next document; an empty table gives an empty result; other columns are
+descending order, equal ids by the hash of their text; a very long text is hashed in
+slices, in one task; a table of one row is its own next document; an empty table gives an empty result; other columns are
 ignored.
 """
 
@@ -25,12 +25,10 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from foliant.llm.common import range_index
-
 SHORTEST = 8  # also the reach of the gear hash
 USUAL = 24
 LONGEST = 96
@@ -149,25 +147,46 @@ _OUT = (
 )
 
 
-def _compare(rows: Iterator[tuple]) -> Iterator[tuple]:
-    """Rows of one bucket in order; guests only serve as the next of the row before."""
+_ARROW = pa.schema(
+    [(c.split()[0], {"long": pa.int64(), "string": pa.string(), "double": pa.float64()}[c.split()[1]]) for c in _OUT.split(", ")]
+)
+
+
+def _row(i: int | None, body: str, prints: Fingerprint, text: str, following: Fingerprint) -> dict:
+    """The result of one document beside the next one's text and fingerprint."""
+    changed = edited(body, text)
+    other = Fingerprint(changed) if changed != body else prints
+    values = (
+        i,
+        len(body),
+        hashlib.sha256(changed.encode("utf-8", "surrogatepass")).hexdigest(),
+        str(prints),
+        str(other),
+        prints.likeness(other),
+        prints.likeness(following),
+    )
+    return dict(zip(_ARROW.names, values, strict=True))
+
+
+def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Results of all rows of a sorted partition but its last."""
     held = None
-    for i, text, guest in rows:
-        current = (i, text, Fingerprint(text))
-        if held is not None:
-            mine, body, prints = held
-            changed = edited(body, text)
-            other = Fingerprint(changed) if changed != body else prints
-            yield (
-                mine,
-                len(body),
-                hashlib.sha256(changed.encode("utf-8", "surrogatepass")).hexdigest(),
-                str(prints),
-                str(other),
-                prints.likeness(other),
-                prints.likeness(current[2]),
-            )
-        held = None if guest else current
+    for batch in batches:
+        out = []
+        for i, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            current = (i, text, Fingerprint(text))
+            if held is not None:
+                out.append(_row(*held, *current[1:]))
+            held = current
+        yield pa.RecordBatch.from_pylist(out, _ARROW)
+
+
+def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Results of the last rows of partitions, beside the first row of the next one."""
+    for batch in batches:
+        columns = (batch.column(c).to_pylist() for c in ("id", "text", "following"))
+        out = [_row(i, text, Fingerprint(text), after, Fingerprint(after)) for i, text, after in zip(*columns, strict=True)]
+        yield pa.RecordBatch.from_pylist(out, _ARROW)
 
 
 def fingerprint_documents(
@@ -178,72 +197,42 @@ def fingerprint_documents(
 ) -> DataFrame:
     """Fingerprint each text, its edited text and compare with both and the next document.
 
-    Texts move once: into buckets of neighbouring ids, sorted. The first document
-    of a bucket also goes to the bucket before it as a guest, found on the ids
-    alone, so no document is looked up and no bucket waits for another.
+    Texts move once, into sorted ranges of neighbouring ids; rows that share an id, or
+    have none, are spread by the hash of their text. The first and the last row of each
+    range are read from the same shuffle, and a join of these rows, one pair for each
+    range, gives the last one its next document.
     """
     rows = docs.select(
         F.col(id_col).cast("long").alias("id"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+        F.monotonically_increasing_id().alias("tie"),
     )
-    # Descending ids, nulls last: the key ascends with the order of the documents.
-    key = F.coalesce(-F.col("id").cast("double"), F.lit(1e19))
-    n = rows.select("id").count()
-    parts = max(1, -(-n // partition_rows))
-    bounds = []
-    if parts > 1:
-        marks = [k / parts for k in range(1, parts)]
-        found = rows.select(key.alias("key")).agg(F.percentile_approx("key", F.lit(marks), F.lit(100_000)))
-        bounds = sorted(set(found.first()[0]))
-    bucket = range_index(key, bounds).cast("int")
-    order = [F.desc_nulls_last("id"), F.asc("digest"), F.asc("text")]
-    keyed = rows.withColumn("bucket", bucket).withColumn("digest", F.xxhash64("text"))
-    # The head of each bucket: its largest id, the smallest text hash among equals.
-    heads = keyed.groupBy("bucket").agg(
-        F.min(F.struct(F.col("id").isNull().alias("last"), (-F.col("id")).alias("id"), "digest")).alias("head")
-    )
-    tops = sorted(
-        (r["bucket"], None if r["head"]["last"] else -r["head"]["id"], r["head"]["digest"])
-        for r in heads.collect()
-    )
-    if not tops:
-        return docs.sparkSession.createDataFrame([], _OUT)
-    # A head is the guest of the bucket before; the first one of the last bucket.
-    guest_of = {(i, d): tops[k - 1][0] for k, (_, i, d) in enumerate(tops)}
-    table = docs.sparkSession.createDataFrame(
-        [(i is None, i or 0, d, b) for (i, d), b in guest_of.items()],
-        "none boolean, top long, top_digest long, host int",
-    )
-    matched = keyed.join(
-        F.broadcast(table),
-        (F.col("id").isNull() == F.col("none"))
-        & (F.coalesce("id", F.lit(0)) == F.col("top"))
-        & (F.col("digest") == F.col("top_digest")),
+    parts = max(1, -(-docs.count() // partition_rows))
+    # Descending ids, nulls last; equal ids by the hash of their text. Equal rows are
+    # told apart by their place in the input, which changes no result.
+    order = ["unnamed", "down", "digest", "text", "tie"]
+    keyed = rows.select(
+        "id",
+        F.col("id").isNull().alias("unnamed"),
+        F.coalesce(F.bitwise_not("id"), F.lit(0)).alias("down"),
+        F.xxhash64("text").alias("digest"),
+        "text",
+        "tie",
     )
-    guests = matched.dropDuplicates(["host", "id", "digest"]).select(
-        "id", "text", "digest", F.col("host").alias("bucket"), F.lit(True).alias("guest")
+    ranged = keyed.repartitionByRange(parts, "unnamed", "down", "digest", "tie")
+    inside = ranged.sortWithinPartitions(*order).select("id", "text").mapInArrow(_in_order, _OUT)
+
+    part = F.spark_partition_id().alias("part")
+    place = F.struct(*order)
+    ends = ranged.select(part, "id", "text", place.alias("place"))
+    first = ends.groupBy("part").agg(F.min_by("text", "place").alias("following"))
+    last = ends.groupBy("part").agg(F.max_by("id", "place").alias("id"), F.max_by("text", "place").alias("text"))
+    # One number per range that holds rows.
+    numbers = ranged.select(part).distinct()
+    every = Window.orderBy("part")
+    after = numbers.select(
+        "part",
+        F.coalesce(F.lead("part").over(every), F.min("part").over(Window.partitionBy(F.lit(0)))).alias("next"),
     )
-    everyone = keyed.select("id", "text", "digest", "bucket", F.lit(False).alias("guest")).unionByName(guests)
-    spread = everyone.repartition(len(tops), "bucket").sortWithinPartitions("bucket", "guest", *order)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def flat():
-            for batch in batches:
-                yield from zip(batch["id"], batch["text"], batch["guest"], strict=True)
-
-        held = []
-        for row in _compare(flat()):
-            held.append(row)
-            if len(held) == 2000:
-                yield frame(held)
-                held = []
-        if held:
-            yield frame(held)
-
-    names = [c.split()[0] for c in _OUT.split(", ")]
-
-    def frame(held: list[tuple]) -> pd.DataFrame:
-        out = pd.DataFrame(held, columns=names)
-        return out.assign(id=out["id"].astype("Int64"))
-
-    return spread.select("id", "text", "guest").mapInPandas(run, _OUT)
+    pairs = last.join(after, "part").join(first.withColumnRenamed("part", "next"), "next")
+    return inside.unionByName(pairs.select("id", "text", "following").mapInArrow(_across, _OUT))
