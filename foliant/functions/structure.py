@@ -63,10 +63,10 @@ SECTION_WORDS = [
 ]
 
 # Words never reported as keywords.
-KEYWORD_STOPWORDS = """
-the a an and or but in on at to for of with by is are was were be been being
-have has had do does did
-""".split()
+KEYWORD_STOPWORDS = [
+    "the", "a", "an", "and", "or", "but", "in", "on", "at", "to", "for", "of", "with", "by",
+    "is", "are", "was", "were", "be", "been", "being", "have", "has", "had", "do", "does", "did",
+]
 
 
 # A plain substring every match must contain: a cheap test that keeps the

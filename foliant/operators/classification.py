@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliant.functions.arrays import let
+from foliant.operators.boosting import SoftmaxTrees, fit_softmax_trees
 from foliant.operators.joins import lookup
 from foliant.operators.metrics import bin_counts, classification_metrics
 from foliant.operators.ordered import hash_parts
@@ -33,9 +34,8 @@ MODELS = [
     "gradient_boosting",
     "xgboost",
 ]
-# Stored training rows a task should read at least, for tables of few rows.
+# Training rows of a partition: their number, hence every seeded draw, follows from the data.
 ROWS_PER_TASK = 2_000
-FEW_ROWS = 1_000_000
 CV_MODELS = ["random_forest", "svm", "logistic_regression"]
 
 
@@ -117,11 +117,7 @@ def fold_ids(
 
 
 def make_estimator(model_type: str, n_rows: int, n_classes: int, **options) -> Estimator:
-    """The MLlib estimator behind a model name; ``options`` override its preset.
-
-    ``xgboost`` is a second boosting preset (depth 6, step 0.3), not the
-    external library.
-    """
+    """The MLlib estimator behind a model name; ``options`` override its preset."""
     common = {"featuresCol": "features", "labelCol": "label"}
     if model_type == "random_forest":
         preset = {"numTrees": 100, "maxDepth": 20, "featureSubsetStrategy": "sqrt", "seed": 42}
@@ -142,9 +138,8 @@ def make_estimator(model_type: str, n_rows: int, n_classes: int, **options) -> E
             "standardization": False,
         }
         return LogisticRegression(**common, **{**preset, **options})
-    if model_type in ("gradient_boosting", "xgboost"):
-        depth, step = (3, 0.1) if model_type == "gradient_boosting" else (6, 0.3)
-        preset = {"maxIter": 100, "maxDepth": depth, "stepSize": step, "seed": 42}
+    if model_type == "gradient_boosting":
+        preset = {"maxIter": 100, "maxDepth": 3, "stepSize": 0.1, "seed": 42}
         return _several(GBTClassifier(**common, **{**preset, **options}), n_classes)
     raise ValueError(f"Unknown model type: {model_type}")
 
@@ -238,7 +233,7 @@ def fit_naive_bayes(
 class Trained:
     model_type: str
     preds: DataFrame
-    model: Model | NaiveBayesText
+    model: Model | NaiveBayesText | SoftmaxTrees
     vocabulary: Vocabulary | None = None
 
     @property
@@ -289,23 +284,29 @@ def train(
         found = model.predict(held_weights, held, id_col=id_col)
         scored = held.select(id_col, "y_true").join(found, id_col)
     else:
-        spark = vectors.sparkSession
         fit_rows, held = vectors.filter("split = 'train'"), vectors.filter("split = 'test'")
         stats = fit_rows.agg(F.count("*").alias("n"), F.max("y_true").alias("top")).first()
-        estimator = make_estimator(model_type, stats["n"], (stats["top"] or 0) + 1, **options)
+        n_classes = (stats["top"] or 0) + 1
         numeric = F.col("y_true").cast("double").alias("label")
-        # Iterative solvers run a job per step: the vectors are computed and stored
-        # by all tasks, and small ones are then read in few parts, without a shuffle.
-        ready = durable(fit_rows.select("features", numeric))
-        tasks = min(spark.sparkContext.defaultParallelism, 1 + stats["n"] // ROWS_PER_TASK)
-        model = estimator.fit(ready.coalesce(tasks) if stats["n"] < FEW_ROWS else ready)
-        done = model.transform(held)
-        scored = done.select(
-            id_col,
-            "y_true",
-            F.col("prediction").cast("int").alias("y_pred"),
-            _probabilities(done).alias("prob"),
-        )
+        # Iterative solvers run a job per step over stored vectors. Their seeds go by the
+        # number of the partition, so rows are dealt by id into as many as the data ask for.
+        tasks = 1 + stats["n"] // ROWS_PER_TASK
+        dealt = fit_rows.repartition(tasks, id_col).sortWithinPartitions(id_col)
+        ready = durable(dealt.select("features", numeric))
+        if model_type == "xgboost":
+            some = ready.select("features").first()
+            n_features = some["features"].size if some else 0
+            model = fit_softmax_trees(ready, n_features, n_classes, **options)
+            scored = model.predict(held.select(id_col, "y_true", "features"))
+        else:
+            model = make_estimator(model_type, stats["n"], n_classes, **options).fit(ready)
+            done = model.transform(held)
+            scored = done.select(
+                id_col,
+                "y_true",
+                F.col("prediction").cast("int").alias("y_pred"),
+                _probabilities(done).alias("prob"),
+            )
     preds = scored.select(
         F.lit(model_type).alias("model"), F.col(id_col).alias("row_id"), "y_true", "y_pred", "prob"
     )

@@ -22,7 +22,8 @@ def lookup(
 
     A proven-small table is broadcast. Otherwise only the keys that are hot on
     the left (at most ``max_rows`` of them by choice of the threshold) are
-    broadcast and the rest is shuffled, so no task receives a hot key whole.
+    broadcast and the rest is shuffled, so no task receives a hot key whole; rows
+    without a key take part in no shuffle.
     ``right`` is read more than once: hand in a stored one.
     """
     if right.limit(max_rows + 1).count() <= max_rows:
@@ -33,8 +34,14 @@ def lookup(
     hot = F.broadcast(counts.filter(F.col("_n") > threshold).select(key))
     hot_right = F.broadcast(right.join(hot, key, "left_semi"))
     hot_part = left.join(hot, key, "left_semi").join(hot_right, key, how)
-    cold_part = left.join(hot, key, "left_anti").join(right, key, how)
-    return hot_part.unionByName(cold_part)
+    # Null keys match nothing and would all be shuffled to one task.
+    named = left.filter(F.col(key).isNotNull())
+    cold_part = named.join(hot, key, "left_anti").join(right, key, how)
+    both = hot_part.unionByName(cold_part)
+    if how == "inner":
+        return both
+    unnamed = left.filter(F.col(key).isNull()).join(F.broadcast(right.limit(0)), key, how)
+    return both.unionByName(unnamed)
 
 
 def unmatched(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from foliant.operators import classification as K
+from foliant.operators.fitted import TextClassifier
 from foliant.plans import workflow
 from foliant.registry.base import query, table
 from foliant.registry.metric_queries import rounded
@@ -16,6 +17,7 @@ from foliant.registry.vector_queries import (
     weights_sql,
 )
 from foliant.session import scratch_folder
+from foliant.sources import sinks
 
 
 def labelled_documents(spark, sf_dir):
@@ -91,13 +93,11 @@ model_query("M3_random_forest", "random_forest")
 model_query("M4_svm", "svm")
 model_query("M5_logistic_regression", "logistic_regression")
 model_query("M7_gradient_boosting", "gradient_boosting")
-model_query("M8_second_boosting", "xgboost")
+model_query("M8_second_boosting", "xgboost", rounds=20)
 model_query("M9_train_naive_bayes", "naive_bayes")
 
 
-@query(
-    "M6_naive_bayes",
-    f"""WITH {LABELLED_SQL}, {terms_sql('train', stop=False, bigrams=False)}, {vocabulary_sql('', 'train')},
+BAYES_SQL = f"""WITH {LABELLED_SQL}, {terms_sql('train', stop=False, bigrams=False)}, {vocabulary_sql('', 'train')},
       {terms_sql('test', stop=False, bigrams=False, prefix='x')},
       fitted AS ({weights_sql('c', 'v')}), held AS ({weights_sql('xc', 'v')}),
       classes AS (SELECT label, count(*) AS n, ln(count(*) / (SELECT count(*) FROM train)) AS prior FROM train GROUP BY label),
@@ -107,7 +107,12 @@ model_query("M9_train_naive_bayes", "naive_bayes")
         LEFT JOIN mass ON mass.term = v.term AND mass.label = totals.label),
       scores AS (SELECT test.doc_id, classes.label, prior + coalesce(s, 0) AS score FROM test CROSS JOIN classes
         LEFT JOIN (SELECT doc_id, label, sum(weight * l) AS s FROM held JOIN likelihood USING (term) GROUP BY ALL) x
-        ON x.doc_id = test.doc_id AND x.label = classes.label)
+        ON x.doc_id = test.doc_id AND x.label = classes.label)"""
+
+
+@query(
+    "M6_naive_bayes",
+    f"""{BAYES_SQL}
     SELECT doc_id, arg_max(label, score) AS y_pred,
       round(exp(max(score) FILTER (label = 1) - max(score)) / sum(exp(score - m)), 6) AS p_good
     FROM (SELECT *, max(score) OVER (PARTITION BY doc_id) AS m FROM scores) GROUP BY doc_id""",
@@ -121,6 +126,23 @@ def naive_bayes(spark, sf_dir):
     return rounded(found.select("doc_id", "y_pred", F.get("prob", F.lit(1)).alias("p_good")))
 
 
+@query(
+    "S16_saved_classifier",
+    f"""{BAYES_SQL}
+    SELECT doc_id, CASE arg_max(label, score) WHEN 1 THEN 'good' ELSE 'bad' END AS label FROM scores GROUP BY doc_id""",
+)
+def saved_classifier(spark, sf_dir):
+    """Fit, store and load a classifier, then name the classes of documents without labels."""
+    train, test = labelled(spark, sf_dir)
+    named = train.withColumn("label", F.when(F.col("label") == 1, "good").otherwise("bad"))
+    rows = K.encode_labels(named)
+    vocabulary = K.fit_vocabulary(rows)
+    bayes = K.fit_naive_bayes(vocabulary.weights(rows), rows, vocabulary)
+    path = f"{scratch_folder(spark)}/classifier"
+    sinks.save_model(TextClassifier.of(vocabulary, bayes, K.label_table(named)), path)
+    return sinks.load_model(path).transform(test.select("doc_id", "text")).select("doc_id", "label")
+
+
 @query("M10_cross_validate")
 def cross_validate(spark, sf_dir):
     return K.cross_validate(encoded(spark, sf_dir), "svm", 5)

@@ -67,7 +67,7 @@ def test_folds_are_balanced(encoded):
     ("logistic_regression", {}),
     ("naive_bayes", {}),
     ("gradient_boosting", {"maxIter": 3}),
-    ("xgboost", {"maxIter": 3}),
+    ("xgboost", {"rounds": 4, "depth": 3}),
 ])
 def test_models_learn(encoded, name, options):
     split = C.stratified_split(encoded, 0.2)
