@@ -8,7 +8,7 @@ from foliant.functions import structure as S
 from foliant.functions import text as T
 from foliant.operators.cleaning import clean_documents, prepare_corpus
 from foliant.plans.process import process_documents
-from foliant.registry.base import query, sql_list, texts
+from foliant.registry.base import ORACLES, query, sql_list, texts
 from foliant.registry.reports import REPORTS_SQL, reports
 
 STOP_SQL = sql_list(T.ENGLISH_STOPWORDS)
@@ -131,8 +131,8 @@ token_rows("T5_sentences", T.sentences, SENTENCES)
     f"""WITH {REPORTS_SQL}, a AS (SELECT doc_id, {PARAGRAPHS} AS items FROM reports)
     SELECT doc_id, unnest(generate_series(1, len(items))) AS pos, unnest(items) AS paragraph FROM a""",
 )
-def paragraphs(spark, sf_dir):
-    rows = reports(spark, sf_dir).select(
+def paragraphs(spark, sf_dir, rows=reports):
+    rows = rows(spark, sf_dir).select(
         "doc_id", F.posexplode(T.paragraphs(F.col("text"))).alias("pos", "paragraph")
     )
     return rows.withColumn("pos", F.col("pos") + 1)
@@ -339,9 +339,9 @@ def _dates_sql(name: str, pattern: str, parse: str) -> str:
     "X2_dates",
     f"WITH {REPORTS_SQL} " + " UNION ALL ".join(_dates_sql(*spec) for spec in _DATE_SQL),
 )
-def dates(spark, sf_dir):
+def dates(spark, sf_dir, rows=reports):
     return (
-        reports(spark, sf_dir)
+        rows(spark, sf_dir)
         .select("doc_id", F.explode(S.dates(F.col("text"))).alias("d"))
         .select("doc_id", F.col("d.text").alias("found"), "d.date", "d.position", "d.format")
     )
@@ -369,9 +369,9 @@ def dates(spark, sf_dir):
               FROM walk WHERE body IS NOT NULL GROUP BY ALL)
     SELECT doc_id, section, max_by(content, no) AS content FROM parts GROUP BY ALL""",
 )
-def sections(spark, sf_dir):
+def sections(spark, sf_dir, rows=reports):
     return (
-        reports(spark, sf_dir)
+        rows(spark, sf_dir)
         .select("doc_id", F.explode(S.sections(F.col("text"))).alias("s"))
         .select("doc_id", "s.section", "s.content")
     )
@@ -388,9 +388,9 @@ def sections(spark, sf_dir):
       min(pos) AS start_line, max(pos) AS end_line
     FROM hits GROUP BY doc_id, island, total HAVING count(*) >= 2 AND max(pos) < total - 1""",
 )
-def tables(spark, sf_dir):
+def tables(spark, sf_dir, rows=reports):
     return (
-        reports(spark, sf_dir)
+        rows(spark, sf_dir)
         .select("doc_id", F.explode(S.tables(F.col("text"))).alias("t"))
         .select("doc_id", "t.*")
     )
@@ -458,3 +458,63 @@ def loaded_documents(spark, sf_dir):
         F.lit("direct").alias("method"),
         F.lit(0.0).alias("confidence"),
     )
+
+
+# The same over all documents and pages: long, irregular texts beside the short reports.
+TEXTS_SQL = """reports AS (
+  SELECT doc_id, text FROM documents UNION ALL SELECT -1 - page_id, html FROM pages)"""
+
+
+def whole_texts(spark, sf_dir):
+    pages = texts(spark, sf_dir, "pages").select((-1 - F.col("page_id")).alias("doc_id"), F.col("html").alias("text"))
+    return texts(spark, sf_dir, "documents").select("doc_id", "text").unionByName(pages)
+
+
+def _over_texts(name, fn):
+    @query(f"{name}_of_texts", ORACLES[name].replace(REPORTS_SQL, TEXTS_SQL))
+    def run(spark, sf_dir):
+        return fn(spark, sf_dir, whole_texts)
+
+
+for _name, _fn in (
+    ("T6_paragraphs", paragraphs),
+    ("X2_dates", dates),
+    ("X3_sections", sections),
+    ("X4_tables", tables),
+):
+    _over_texts(_name, _fn)
+
+_SECTIONS_CTE = ORACLES["X3_sections"].split("SELECT doc_id, section, max_by")[0].split(f"{REPORTS_SQL},")[1]
+
+
+@query(
+    "X7_structure_counts",
+    rf"""WITH RECURSIVE {REPORTS_SQL.replace("reports AS", "orders_ AS")},
+    reports AS (SELECT doc_id, text FROM documents UNION ALL SELECT -1 - doc_id, text FROM orders_),
+    {_SECTIONS_CTE},
+    s AS (SELECT doc_id, count(DISTINCT section) AS n FROM parts GROUP BY doc_id),
+    d AS (SELECT doc_id, count(*) AS n FROM ({" UNION ALL ".join(_dates_sql(*spec) for spec in _DATE_SQL)}) GROUP BY doc_id),
+    islands AS (SELECT doc_id, count(*) AS rows_, max(pos) AS last, total FROM (
+        SELECT *, pos - row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS island FROM (
+          SELECT doc_id, len(l) AS total, unnest(generate_series(0, len(l) - 1)) AS pos, unnest(l) AS line
+          FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM reports))
+        WHERE regexp_matches(line, '[\t|]{{2,}}|\s{{2,}}.+\s{{2,}}')) GROUP BY doc_id, island, total),
+    t AS (SELECT doc_id, count(*) AS n FROM islands WHERE rows_ >= 2 AND last < total - 1 GROUP BY doc_id)
+    SELECT r.doc_id, coalesce(s.n, 0) AS sections, coalesce(d.n, 0) AS dates, coalesce(t.n, 0) AS tables,
+      len(string_split(text, chr(10))) AS line_count, len({PARAGRAPHS}) AS paragraph_count,
+      greatest(1, length(text) // 2500) AS estimated_pages
+    FROM reports r LEFT JOIN s USING (doc_id) LEFT JOIN d USING (doc_id) LEFT JOIN t USING (doc_id)""",
+)
+def structure_counts(spark, sf_dir):
+    docs = texts(spark, sf_dir, "documents").select("doc_id", "text")
+    both = docs.union(reports(spark, sf_dir).select(-1 - F.col("doc_id"), "text"))
+    found = both.select("doc_id", S.document_structure(F.col("text")).alias("s"))
+    return found.select(
+        "doc_id",
+        F.size("s.sections").alias("sections"),
+        F.size("s.dates").alias("dates"),
+        F.size("s.tables").alias("tables"),
+        F.col("s.metadata.line_count").alias("line_count"),
+        F.col("s.metadata.paragraph_count").alias("paragraph_count"),
+        F.col("s.metadata.estimated_pages").alias("estimated_pages"),
+    )
