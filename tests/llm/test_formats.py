@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from brute import sha, simhash
+from brute import attention_score, passage_features, sha, simhash, toxic_probabilities
 from conftest import EDGE
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -147,6 +147,33 @@ def test_classifiers_edge_cases(spark, sf_dir, edge, nothing, label, module):
     assert module.classify(nothing.drop("id").withColumnRenamed("doc_id", "id"), labels).count() == 0
 
 
+def test_scores_equal_the_plain_version(spark, sf_dir, rows):
+    texts = [t for _, t in rows[::9]] + [t for _, t in EDGE if not t or len(t) < 10_000] + [rows[0][1] * 30]
+    docs, labels = tables(spark, sf_dir, "quality")
+    model = quality.fit_quality(docs, labels)
+    kind = quality._CLASS.tolist()
+    for text, got in zip(texts, model.score(texts), strict=True):
+        x = passage_features(text, kind, quality._KINDS)
+        data = (text or "").encode()
+        assert np.allclose(quality.describe([data])[0], x, atol=1e-5)
+        assert abs(got - attention_score(model, x)) < 1e-4
+    docs, labels = tables(spark, sf_dir, "toxic")
+    model = toxicity.fit_toxicity(docs, labels)
+    for text, got in zip(texts, model.probabilities(model.sums(texts)), strict=True):
+        assert np.allclose(got, toxic_probabilities(model, text), atol=1e-9)
+
+
+def test_training_sees_whole_documents(spark, sf_dir):
+    """Every passage of a sampled document, also of one longer than all the others together."""
+    text = "a sentence of plain words. " * 4_000
+    docs = spark.createDataFrame([(1, text), (2, "short"), (3, "b" * 3_000_000), (4, None)], "id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0), (4, 1)], "id long, label int")
+    bags = {r.y: len(r.x) for r in quality._bags(docs, labels, 10, 1 << 20).collect() if len(r.x) > 2_000}
+    width = 2 * quality.FEATURES
+    held = {i for i in (1, 2, 3, 4) if zlib.crc32(str(i).encode()) % 5 == 0}
+    assert bags == ({1: -(-len(text) // 512) * width} if 1 not in held else {})
+
+
 def test_attention_gradient():
     rng = np.random.default_rng(2)
     x = rng.random((9, quality.FEATURES)).astype(np.float32)
