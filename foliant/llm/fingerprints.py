@@ -14,7 +14,7 @@ of an empty text is the empty string, and two of those are alike (1.0).
 
 Defined cases: a null text is empty; ids are ordered with nulls last in the
 descending order, equal ids by the hash of their text; a very long text is hashed in
-slices, in one task; a table of one row is its own next document; an empty table gives an empty result; other columns are
+slices, in one task; rows equal in id and text stay in one task; a table of one row is its own next document; an empty table gives an empty result; other columns are
 ignored.
 """
 
@@ -22,19 +22,25 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
+from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from foliant.llm.common import range_index
+
 SHORTEST = 8  # also the reach of the gear hash
 USUAL = 24
 LONGEST = 96
 STRICT_BITS = 6
 LOOSE_BITS = 3
 PARTITION_ROWS = 5_000
+MOST_BUCKETS = 20_000
 _SLICE = 1 << 22  # bytes hashed at a time
 
 
@@ -169,24 +175,28 @@ def _row(i: int | None, body: str, prints: Fingerprint, text: str, following: Fi
 
 
 def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Results of all rows of a sorted partition but its last."""
+    """Results of sorted rows; guests only serve as the next of the row before."""
     held = None
     for batch in batches:
         out = []
-        for i, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+        columns = (batch.column(c).to_pylist() for c in ("id", "text", "guest"))
+        for i, text, guest in zip(*columns, strict=True):
             current = (i, text, Fingerprint(text))
             if held is not None:
                 out.append(_row(*held, *current[1:]))
-            held = current
+            held = None if guest else current
         yield pa.RecordBatch.from_pylist(out, _ARROW)
 
 
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Results of the last rows of partitions, beside the first row of the next one."""
-    for batch in batches:
-        columns = (batch.column(c).to_pylist() for c in ("id", "text", "following"))
-        out = [_row(i, text, Fingerprint(text), after, Fingerprint(after)) for i, text, after in zip(*columns, strict=True)]
-        yield pa.RecordBatch.from_pylist(out, _ARROW)
+def _bounds(keys: list[float], unnamed: float) -> tuple[list[float], set[float]]:
+    """Ascending starts of the ranges, and those that start a range of one key alone.
+
+    A key that several quantiles name is frequent: it gets a range of its own.
+    """
+    times = Counter(keys)
+    alone = {k for k, n in times.items() if n > 1 and (k == unnamed or abs(k) < 2**53)}
+    starts = set(keys) | {math.nextafter(k, math.inf) for k in alone}
+    return sorted(starts), alone
 
 
 def fingerprint_documents(
@@ -194,45 +204,74 @@ def fingerprint_documents(
     id_col: str = "doc_id",
     text_col: str = "text",
     partition_rows: int = PARTITION_ROWS,
+    most_buckets: int = MOST_BUCKETS,
 ) -> DataFrame:
     """Fingerprint each text, its edited text and compare with both and the next document.
 
-    Texts move once, into sorted ranges of neighbouring ids; rows that share an id, or
-    have none, are spread by the hash of their text. The first and the last row of each
-    range are read from the same shuffle, and a join of these rows, one pair for each
-    range, gives the last one its next document.
+    Texts move once: into buckets of neighbouring ids, sorted. Rows without an id, and
+    those of a frequent id, are dealt to several buckets by the hash of their text. The
+    first document of a bucket also goes to the bucket before it as a guest, found on the
+    ids alone, so no document is looked up and no bucket waits for another. There are at
+    most about ``2 * most_buckets`` buckets, larger ones for larger tables: tasks read them
+    as a stream, and what the driver lists and broadcasts has that bound.
     """
+    spark = docs.sparkSession
     rows = docs.select(
         F.col(id_col).cast("long").alias("id"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
-        F.monotonically_increasing_id().alias("tie"),
     )
-    parts = max(1, -(-docs.count() // partition_rows))
-    # Descending ids, nulls last; equal ids by the hash of their text. Equal rows are
-    # told apart by their place in the input, which changes no result.
-    order = ["unnamed", "down", "digest", "text", "tie"]
-    keyed = rows.select(
-        "id",
-        F.col("id").isNull().alias("unnamed"),
-        F.coalesce(F.bitwise_not("id"), F.lit(0)).alias("down"),
-        F.xxhash64("text").alias("digest"),
-        "text",
-        "tie",
+    # Descending ids, nulls last: the key ascends with the order of the documents.
+    unnamed = 1e19
+    key = F.coalesce(-F.col("id").cast("double"), F.lit(unnamed))
+    n = docs.count()
+    rows_each = max(partition_rows, -(-n // most_buckets))
+    parts = max(1, -(-n // rows_each))
+    bounds, alone = [], set()
+    if parts > 1:
+        marks = [k / parts for k in range(1, parts)]
+        found = rows.agg(F.percentile_approx(key, F.lit(marks), F.lit(max(100_000, 10 * parts))).alias("k"))
+        bounds, alone = _bounds(found.first()["k"], unnamed)
+    span = range_index(key, bounds).cast("int")
+    pieces = [1] * (len(bounds) + 1)
+    if alone:
+        counted = rows.groupBy(span.alias("span")).agg(F.count("*").alias("rows")).collect()
+        for r in counted:
+            if r["span"] and bounds[r["span"] - 1] in alone:
+                pieces[r["span"]] = max(1, -(-r["rows"] // rows_each))
+    first = [sum_ - p for sum_, p in zip(accumulate(pieces), pieces, strict=True)]
+    share = F.col("digest").cast("double") / F.lit(2.0**64) + F.lit(0.5)
+    inside = F.least(F.floor(share * F.col("pieces")), F.col("pieces") - 1).cast("int")
+    keyed = (
+        rows.select("id", "text", F.xxhash64("text").alias("digest"), span.alias("span"))
+        .withColumn("pieces", F.get(F.lit(pieces), F.col("span")))
+        .select("id", "text", "digest", (F.get(F.lit(first), F.col("span")) + inside).alias("bucket"))
+    )
+    order = [F.desc_nulls_last("id"), F.asc("digest"), F.asc("text")]
+    # The head of each bucket: its largest id, the smallest text hash among equals.
+    down = F.bitwise_not(F.col("id"))
+    heads = keyed.groupBy("bucket").agg(
+        F.min(F.struct(F.col("id").isNull().alias("last"), down.alias("down"), "digest")).alias("head")
+    )
+    tops = sorted(
+        (r["bucket"], None if r["head"]["last"] else ~r["head"]["down"], r["head"]["digest"])
+        for r in heads.collect()
+    )
+    if not tops:
+        return spark.createDataFrame([], _OUT)
+    # A head is the guest of the bucket before; the first one of the last bucket.
+    table = spark.createDataFrame(
+        [(i is None, i or 0, d, tops[k - 1][0]) for k, (_, i, d) in enumerate(tops)],
+        "none boolean, top long, top_digest long, host int",
+    )
+    matched = keyed.join(
+        F.broadcast(table),
+        (F.col("id").isNull() == F.col("none"))
+        & (F.coalesce("id", F.lit(0)) == F.col("top"))
+        & (F.col("digest") == F.col("top_digest")),
     )
-    ranged = keyed.repartitionByRange(parts, "unnamed", "down", "digest", "tie")
-    inside = ranged.sortWithinPartitions(*order).select("id", "text").mapInArrow(_in_order, _OUT)
-
-    part = F.spark_partition_id().alias("part")
-    place = F.struct(*order)
-    ends = ranged.select(part, "id", "text", place.alias("place"))
-    first = ends.groupBy("part").agg(F.min_by("text", "place").alias("following"))
-    last = ends.groupBy("part").agg(F.max_by("id", "place").alias("id"), F.max_by("text", "place").alias("text"))
-    # One number per range that holds rows.
-    numbers = ranged.select(part).distinct()
-    every = Window.orderBy("part")
-    after = numbers.select(
-        "part",
-        F.coalesce(F.lead("part").over(every), F.min("part").over(Window.partitionBy(F.lit(0)))).alias("next"),
+    guests = matched.dropDuplicates(["host", "id", "digest"]).select(
+        "id", "text", "digest", F.col("host").alias("bucket"), F.lit(True).alias("guest")
     )
-    pairs = last.join(after, "part").join(first.withColumnRenamed("part", "next"), "next")
-    return inside.unionByName(pairs.select("id", "text", "following").mapInArrow(_across, _OUT))
+    everyone = keyed.select("id", "text", "digest", "bucket", F.lit(False).alias("guest")).unionByName(guests)
+    ranged = everyone.repartition(len(tops), "bucket").sortWithinPartitions("bucket", "guest", *order)
+    return ranged.select("id", "text", "guest").mapInArrow(_in_order, _OUT)
