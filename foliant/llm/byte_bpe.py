@@ -14,7 +14,7 @@ two characters that are not white space); the segments are the upper leaves and
 bound the memory a document needs.
 
 Defined cases: a null or empty text has no ids; repeated rows and ids stay as
-they are; an empty table gives an empty result; other columns are ignored. A lone
+they are; a very long text is encoded segment by segment in one task; an empty table gives an empty result; other columns are ignored. A lone
 byte without a rank is an error of the vocabulary and raises.
 """
 

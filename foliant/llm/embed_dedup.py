@@ -10,7 +10,7 @@ decided by the cosine of the given vectors in double precision.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite
 components, and rows with a null label, link with nothing; vectors of different
-length never link; equal vectors of a label are compared once and counted as
+length never link; components of any finite size take part; equal vectors of a label are compared once and counted as
 often as they occur (repeated rows too); a null id keeps its row; an empty table
 gives an empty result; other columns are ignored.
 """
@@ -51,7 +51,12 @@ def _prepared(vectors: DataFrame, id_col: str, vector_col: str, label_col: str)
         }
     )
     node = F.concat_ws(":", F.col("label").cast("string"), "h1", "h2")
-    return rows.withColumn("node", F.when(F.coalesce(usable, F.lit(False)), node))
+    # Squares of very large or small components leave the doubles; a factor changes no cosine.
+    top = F.array_max(F.transform(x, F.abs))
+    scaled = F.when((top > 1e150) | (top < 1e-150), F.transform(x, lambda c: c / top)).otherwise(x)
+    return rows.withColumn("node", F.when(F.coalesce(usable, F.lit(False)), node)).withColumn(
+        "vector", F.when(F.col("node").isNotNull(), scaled)
+    )
 
 
 def _rotations(nodes: DataFrame) -> dict[int, np.ndarray]:

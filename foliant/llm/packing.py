@@ -14,7 +14,8 @@ by partition and bin, never by a sort of all rows, so a length shared by a third
 of all documents is spread like any other.
 
 Defined cases: a null text is empty and has the end id alone; repeated rows and
-ids are packed as often as they occur; a null id keeps its pieces; an empty
+ids are packed as often as they occur; a very long text is many full windows; should the
+rounds of the solver run out, its last point is rounded and the greedy rest is larger; a null id keeps its pieces; an empty
 table gives no piece; other columns are ignored.
 """
 

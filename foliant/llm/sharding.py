@@ -11,7 +11,10 @@ the slot. No task ever sees more than one range, and the driver holds a bounded
 number of splitters and range totals.
 
 Defined cases: a null text has no bytes and the checksum of the empty text;
-equal or null ids and repeated rows get slots of their own; an empty table gives
+equal or null ids and repeated rows get slots of their own; a text of any length is one
+record, larger than a shard's share if need be; rows equal in text and id share a range
+and a task; if ranges are still overfull after the last round they stay so, which
+changes the size of tasks, not the result; an empty table gives
 an empty result; other columns are ignored.
 """
 

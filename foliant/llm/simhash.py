@@ -8,7 +8,7 @@ lowest 16 bits narrow the comparison further.
 
 Defined cases: a null text is empty; a text without words has fingerprint zero
 and links like any other; equal fingerprints are one class whatever their
-number; rows repeat as given; a null id keeps its row and never names a
+number; a very long text is hashed in slices, in one task; rows repeat as given; a null id keeps its row and never names a
 component unless nothing else is in it (then the component id is null); an empty
 table gives an empty result; other columns are ignored.
 """

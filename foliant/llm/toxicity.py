@@ -17,7 +17,7 @@ over whole texts.
 
 Defined cases: a null or empty text has no features and gets the severity of a clean
 text; without labelled rows every document is clean; repeated rows and null ids
-are scored like others; an empty table gives an empty result; other columns are
+are scored like others; a very long text is one set of features, in one task; an empty table gives an empty result; other columns are
 ignored.
 """
 

@@ -99,6 +99,14 @@ def test_embeddings(spark, tile_rows):
     assert sorted((tuple(r) for r in out.collect()), key=key) == want
 
 
+def test_embeddings_of_any_size(spark):
+    """Squared norms beyond the doubles, and below them."""
+    rows = [(1, [1e200, 1e200]), (2, [3e200, 3e200]), (3, [1e-200, 1e-200]), (4, [1.0, 1.0]), (5, [-1e300, 1e300])]
+    df = spark.createDataFrame([(i, v, 0) for i, v in rows], "vec_id long, embedding array<double>, label int")
+    out = {r.id: (r.n_links, r.component_id) for r in embed_dedup.near_duplicates(df).collect()}
+    assert out == {1: (3, 1), 2: (3, 1), 3: (3, 1), 4: (3, 1), 5: (0, 5)}
+
+
 def test_embeddings_empty(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert embed_dedup.near_duplicates(df).collect() == []
