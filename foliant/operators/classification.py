@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 
 from foliant.functions.arrays import let
 from foliant.operators.boosting import SoftmaxTrees, fit_softmax_trees
+from foliant.operators.calibration import FOLDS as CALIBRATION_FOLDS
+from foliant.operators.calibration import Calibrated, fit_calibrated
 from foliant.operators.joins import lookup
 from foliant.operators.metrics import bin_counts, classification_metrics
 from foliant.operators.ordered import hash_parts
@@ -159,9 +161,11 @@ def _shares(values: Column) -> Column:
 
 
 def _probabilities(scored: DataFrame) -> Column:
+    if "prob" in scored.columns:
+        return F.col("prob")
     if "probability" in scored.columns:
         return vector_to_array("probability")
-    # Margins: a logistic curve per class, scaled to sum 1. Not calibrated.
+    # Margins of too few rows to calibrate: a logistic curve per class, scaled to sum 1.
     curve = F.transform(vector_to_array("rawPrediction"), lambda m: 1 / (1 + F.exp(-m)))
     return let(curve, _shares)
 
@@ -233,7 +237,7 @@ def fit_naive_bayes(
 class Trained:
     model_type: str
     preds: DataFrame
-    model: Model | NaiveBayesText | SoftmaxTrees
+    model: Model | NaiveBayesText | SoftmaxTrees | Calibrated
     vocabulary: Vocabulary | None = None
 
     @property
@@ -266,6 +270,7 @@ def train(
     documents: DataFrame | None = None,
     id_col: str = "doc_id",
     text: str = "text",
+    seed: int = 42,
     **options,
 ) -> Trained:
     """Fit one model on the train rows and predict the test rows.
@@ -292,14 +297,17 @@ def train(
         # number of the partition, so rows are dealt by id into as many as the data ask for.
         tasks = 1 + stats["n"] // ROWS_PER_TASK
         dealt = fit_rows.repartition(tasks, id_col).sortWithinPartitions(id_col)
-        ready = durable(dealt.select("features", numeric))
+        fold = F.xxhash64(id_col, F.lit(seed)).alias("fold_key")
+        ready = durable(dealt.select("features", numeric, fold))
         if model_type == "xgboost":
             some = ready.select("features").first()
             n_features = some["features"].size if some else 0
             model = fit_softmax_trees(ready, n_features, n_classes, **options)
             scored = model.predict(held.select(id_col, "y_true", "features"))
         else:
-            model = make_estimator(model_type, stats["n"], n_classes, **options).fit(ready)
+            estimator = make_estimator(model_type, stats["n"], n_classes, **options)
+            calibrate = model_type == "svm" and stats["n"] >= 2 * CALIBRATION_FOLDS
+            model = fit_calibrated(estimator, ready, n_classes) if calibrate else estimator.fit(ready)
             done = model.transform(held)
             scored = done.select(
                 id_col,
