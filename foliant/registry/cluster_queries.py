@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from foliant.functions import charts
@@ -131,22 +132,45 @@ def ward_heights(spark, sf_dir):
     )
 
 
-@query(
-    "C4_ward_planted",
-    """SELECT vec_id AS id, CAST(dense_rank() OVER (ORDER BY first) - 1 AS INTEGER) AS cluster
-    FROM (SELECT vec_id, min(vec_id) OVER (PARTITION BY label) AS first FROM embeddings)""",
-)
-def ward_planted(spark, sf_dir):
-    """Labels moved far apart are what the tree cuts last."""
-    moved = table(spark, sf_dir, "embeddings").select(
+def planted(spark, sf_dir):
+    """Vectors with their labels moved far apart on a further axis."""
+    return table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("id"),
         "label",
         F.concat(F.col("embedding").cast("array<double>"), F.array(F.col("label") * 1000.0)).alias("embedding"),
     )
+
+
+PLANTED_SQL = """SELECT vec_id AS id, CAST(dense_rank() OVER (ORDER BY first) - 1 AS INTEGER) AS cluster
+    FROM (SELECT vec_id, min(vec_id) OVER (PARTITION BY label) AS first FROM embeddings)"""
+
+
+@query("C4_ward_planted", PLANTED_SQL)
+def ward_planted(spark, sf_dir):
+    """Labels moved far apart are what the tree cuts last."""
+    moved = planted(spark, sf_dir)
     groups = moved.select("label").distinct().count()
     return C.ward(moved.select("id", "embedding"), groups)
 
 
+@query(
+    "C5_planted_methods",
+    f"""SELECT method, id, cluster FROM ({PLANTED_SQL}), (SELECT unnest(['kmeans', 'dbscan', 'hierarchical', 'bisecting']) AS method)""",
+)
+def planted_methods(spark, sf_dir):
+    """Every method finds groups that lie far apart; numbered by their first id."""
+    moved = planted(spark, sf_dir)
+    groups, parts = moved.select("label").distinct().count(), None
+    for method in ("kmeans", "dbscan", "hierarchical", "bisecting"):
+        found = C.cluster_documents(moved.select("id", "embedding"), method, groups, eps=100.0)
+        firsts = found.groupBy("cluster").agg(F.min("id").alias("first"))
+        order = Window.orderBy("first")  # one row per cluster
+        numbers = firsts.select("cluster", (F.row_number().over(order) - 1).alias("number"))
+        part = found.join(numbers, "cluster").select(F.lit(method).alias("method"), "id", F.col("number").alias("cluster"))
+        parts = part if parts is None else parts.unionByName(part)
+    return parts
+
+
 @query("C5_cluster_documents")
 def cluster_documents(spark, sf_dir):
     return C.cluster_documents(vectors(spark, sf_dir), "kmeans", 5).select("id", "cluster")
@@ -353,6 +377,16 @@ def plot_projection(spark, sf_dir):
     return projection(points, 2).withColumn("is_noise", F.col("cluster") == C.NOISE)
 
 
+@query(
+    "P3_raw_axes",
+    """SELECT vec_id AS id, embedding[1]::DOUBLE AS component_1, embedding[2]::DOUBLE AS component_2 FROM embeddings""",
+)
+def plot_raw_axes(spark, sf_dir):
+    """Vectors of no more axes than the plot are shown as they are."""
+    short = vectors(spark, sf_dir).select("id", F.slice(F.col("embedding").cast("array<double>"), 1, 2).alias("embedding"))
+    return projection(short, 3)
+
+
 @query("P3_projection_3d")
 def plot_projection_3d(spark, sf_dir):
     return projection(noisy(spark, sf_dir).select("id", "embedding", "cluster"), 3)

@@ -83,6 +83,10 @@ def trained(spark, sf_dir, model_type, **options):
     return trained.preds
 
 
+# Boosting runs a job for each level of each round.
+ROUNDS = {"xgboost": {"rounds": 20}}
+
+
 def model_query(name, model_type, **options):
     @query(name)
     def run(spark, sf_dir):
@@ -93,7 +97,7 @@ model_query("M3_random_forest", "random_forest")
 model_query("M4_svm", "svm")
 model_query("M5_logistic_regression", "logistic_regression")
 model_query("M7_gradient_boosting", "gradient_boosting")
-model_query("M8_second_boosting", "xgboost", rounds=20)
+model_query("M8_second_boosting", "xgboost", **ROUNDS["xgboost"])
 model_query("M9_train_naive_bayes", "naive_bayes")
 
 
@@ -150,7 +154,7 @@ def cross_validate(spark, sf_dir):
 
 @query("M11_compare_models")
 def compare_models(spark, sf_dir):
-    return K.compare_models(labelled_documents(spark, sf_dir))[0]
+    return K.compare_models(labelled_documents(spark, sf_dir), options=ROUNDS)[0]
 
 
 @query("L4_train_classifier")
@@ -166,5 +170,6 @@ def compare_classification_models(spark, sf_dir):
         labelled_documents(spark, sf_dir),
         scratch_folder(spark),
         [*K.MODELS, "bert"],
+        options=ROUNDS,
     )
     return parts["report"]

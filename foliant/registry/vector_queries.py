@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
 from foliant.functions.arrays import token_counts
@@ -113,6 +114,24 @@ def reduce_svd(spark, sf_dir):
     return R.svd(model.weight_rows(docs), len(model.terms), 50)
 
 
+@query(
+    "V5_full_rank",
+    f"""WITH {terms_sql('documents', stop=False, bigrams=False)}, {vocabulary_sql('', 'documents').replace('LIMIT 5000', 'LIMIT 40')},
+      weighted AS ({weights_sql('c', 'v')}), s AS (SELECT term, sum(weight) AS total FROM weighted GROUP BY term)
+    SELECT doc_id, round(sum(weight * total), 6) AS with_all FROM weighted JOIN s USING (term) GROUP BY doc_id""",
+)
+def full_rank(spark, sf_dir):
+    """With as many components as terms the products of the rows are kept: each with the sum of all."""
+    docs = documents(spark, sf_dir)
+    model = V.fit_vocabulary(docs, max_features=40)
+    rows = R.svd(model.weight_rows(docs), len(model.terms), 40)
+    total = rows.agg(vector_to_array(Summarizer.sum(array_to_vector("reduced"))).alias("s")).first()["s"]
+    product = F.aggregate(
+        F.zip_with("reduced", F.array(*map(F.lit, total)), lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x
+    )
+    return rows.select("doc_id", F.round(product, 6).alias("with_all"))
+
+
 @query("V6_reduce_lda")
 def reduce_lda(spark, sf_dir):
     docs = documents(spark, sf_dir)
@@ -125,6 +144,20 @@ def reduce_pca(spark, sf_dir):
     return R.pca(texts(spark, sf_dir, "embeddings").select("vec_id", "embedding"), 50)
 
 
+@query(
+    "V7_pca_norms",
+    """WITH x AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, unnest(generate_series(1, len(embedding))) AS dim FROM embeddings)
+    SELECT vec_id, round(sum((x - m) * (x - m)), 6) AS squared_norm
+    FROM x JOIN (SELECT dim, avg(x) AS m FROM x GROUP BY dim) USING (dim) GROUP BY vec_id""",
+)
+def pca_norms(spark, sf_dir):
+    """With all components the distances from the mean are kept."""
+    rows = texts(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    width = rows.select(F.size("embedding").alias("d")).first()["d"]
+    square = F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x * x)
+    return R.pca(rows, width).select("vec_id", F.round(square, 6).alias("squared_norm"))
+
+
 @query(
     "V8_document_features",
     f"""WITH prep AS (SELECT doc_id, text FROM (SELECT doc_id, {sql_clean()} AS text FROM documents
