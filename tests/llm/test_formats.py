@@ -168,7 +168,7 @@ def test_training_sees_whole_documents(spark, sf_dir):
     text = "a sentence of plain words. " * 4_000
     docs = spark.createDataFrame([(1, text), (2, "short"), (3, "b" * 3_000_000), (4, None)], "id long, text string")
     labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0), (4, 1)], "id long, label int")
-    bags = {r.y: len(r.x) for r in quality._bags(docs, labels, 10, 1 << 20).collect() if len(r.x) > 2_000}
+    bags = {r.y: len(r.x) for r in quality._bags(docs, labels, 10, 1 << 22).collect() if len(r.x) > 2_000}
     width = 2 * quality.FEATURES
     held = {i for i in (1, 2, 3, 4) if zlib.crc32(str(i).encode()) % 5 == 0}
     assert bags == ({1: -(-len(text) // 512) * width} if 1 not in held else {})
