@@ -128,3 +128,14 @@ def test_report_without_winner(spark):
     rows = [("svm", 0, 0.0, 0.0, 0.0, 0.0, 0.0, None, None)]
     report = P.comparison_report(spark.createDataFrame(rows, P.RESULT_SCHEMA)).first()
     assert report.best_model is None and report.best_accuracy == 0 and report.recommendations == []
+
+
+def test_cross_validation_fits_an_svm_once_a_fold(encoded, monkeypatch):
+    """Scores go by classes: no calibration fits."""
+
+    def refuse(*_):
+        raise AssertionError("calibrated")
+
+    monkeypatch.setattr(C, "fit_calibrated", refuse)
+    scores = C.cross_validate(encoded, "svm", 2).collect()
+    assert sorted(r.fold for r in scores) == [0, 1]
