@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column
@@ -97,7 +98,8 @@ _MONTH_STARTS = "janfebmaraprmayjunjulaugsepoctnovdec"
 
 def _iso_date(year: Column, month: Column, day: Column) -> Column:
     """ISO text of a valid calendar date, else null; plain arithmetic, because a
-    failing date parser costs an exception per value."""
+    failing date parser costs an exception per value. Takes values bound by ``let``:
+    each is used several times."""
     leap = ((year % 4 == 0) & (year % 100 != 0)) | (year % 400 == 0)
     last = (
         F.when(month == 2, F.when(leap, 29).otherwise(28))
@@ -122,49 +124,54 @@ def _parse_date(name: str, found: Column) -> Column:
     def number(start: int, length: int) -> Column:
         return F.substring(found, start, length).cast("int")
 
+    def bound(numbers: Column, *orders: tuple[int, int, int]) -> Column:
+        return let(
+            numbers,
+            lambda n: F.coalesce(*[_iso_date(*[F.get(n, F.lit(i)) for i in order]) for order in orders]),
+        )
+
     if name == "iso":
-        return _iso_date(number(1, 4), number(6, 2), number(9, 2))
+        return bound(F.array(number(1, 4), number(6, 2), number(9, 2)), (0, 1, 2))
     if name in ("slash", "dash"):
         # Month first; the other way round when that is no date.
-        first, second, year = number(1, 2), number(4, 2), number(7, 4)
-        return F.coalesce(_iso_date(year, first, second), _iso_date(year, second, first))
+        return bound(F.array(number(1, 2), number(4, 2), number(7, 4)), (2, 0, 1), (2, 1, 0))
     start = F.lower(F.substring(found, 1, 3))
     month = ((F.instr(F.lit(_MONTH_STARTS), start) + 2) / 3).cast("int")
-    parts = F.split(found, " ")
-    day = F.replace(F.get(parts, F.lit(1)), F.lit(","), F.lit("")).cast("int")
-    return _iso_date(F.get(parts, F.lit(2)).cast("int"), month, day)
+
+    def numbers(parts: Column) -> Column:
+        day = F.replace(F.get(parts, F.lit(1)), F.lit(","), F.lit("")).cast("int")
+        return bound(F.array(F.get(parts, F.lit(2)).cast("int"), month, day), (0, 1, 2))
+
+    return let(F.split(found, " "), numbers)
 
 
 def _dates_of(text: Column, name: str, pattern: str) -> Column:
-    regex = rf"{_OPEN}{pattern}{_CLOSE}"
-
-    def located(found: Column) -> Column:
-        # Matches become one mark each (marks already in the text are replaced
-        # first), so the pieces come from a plain one-character split. Pieces
-        # and matches interleave: their running length gives every offset.
-        marked = F.regexp_replace(F.replace(text, F.lit("\x01"), F.lit("\x02")), regex, "\x01")
-        gaps = F.transform(F.split(marked, "\x01", -1), lambda p: F.length(p))
-        return let(gaps, lambda g: F.filter(rows(found, g), lambda r: r["date"].isNotNull()))
-
-    def rows(found: Column, gaps: Column) -> Column:
-        steps = F.zip_with(
-            F.slice(gaps, 2, F.size(found)), found, lambda gap, m: gap + F.length(m)
-        )
-        return F.zip_with(
-            found,
-            prefix_sums(steps),
-            lambda m, before: F.struct(
-                m.alias("text"),
-                _parse_date(name, m).alias("date"),
-                (F.get(gaps, F.lit(0)) + before).alias("position"),
-                F.lit(name).alias("format"),
-            ),
-        )
+    """``text`` holds no U+0001, which marks the matches."""
+    # The first character is tested before the look behind it, which costs far more.
+    first = "[jfmasondJFMASOND]" if name == "month_name" else "[0-9]"
+    regex = rf"(?={first}){_OPEN}{pattern}{_CLOSE}"
+
+    def located(pieces: Column) -> Column:
+        # Gaps and matches take turns: their running length gives every offset.
+        def rows(starts: Column) -> Column:
+            return F.transform(
+                F.sequence(F.lit(1), F.size(pieces) - 2, F.lit(2)),
+                lambda i: F.struct(
+                    F.get(pieces, i).alias("text"),
+                    let(F.get(pieces, i), lambda m: _parse_date(name, m)).alias("date"),
+                    F.get(starts, i).alias("position"),
+                    F.lit(name).alias("format"),
+                ),
+            )
+
+        lengths = F.transform(pieces, lambda p: F.length(p))
+        return F.filter(let(prefix_sums(lengths), rows), lambda r: r["date"].isNotNull())
 
+    # One search marks both ends of every match, and a plain split takes the text apart.
     # The common case, a text without dates, never reaches the offset work.
     return let(
-        F.regexp_extract_all(text, F.lit(regex), F.lit(0)),
-        lambda found: F.when(F.size(found) > 0, located(found)).otherwise(
+        F.split(F.regexp_replace(text, regex, "\x01$0\x01"), "\x01", -1),
+        lambda pieces: F.when(F.size(pieces) > 1, located(pieces)).otherwise(
             F.array().cast(_DATES_TYPE)
         ),
     )
@@ -172,7 +179,10 @@ def _dates_of(text: Column, name: str, pattern: str) -> Column:
 
 def dates(text: Column) -> Column:
     """array<struct<text, date, position, format>>, by pattern, then position."""
-    found = F.concat(*[_dates_of(text, name, pattern) for name, pattern in DATE_PATTERNS])
+    found = let(
+        F.replace(text, F.lit("\x01"), F.lit("\x02")),
+        lambda t: F.concat(*[_dates_of(t, name, pattern) for name, pattern in DATE_PATTERNS]),
+    )
     return F.when(text.rlike("[0-9]{4}"), found).otherwise(F.array().cast(_DATES_TYPE))
 
 
@@ -184,10 +194,17 @@ def sections(text: Column) -> Column:
     """array<struct<section_no, section, content>>; the last of equal names wins."""
 
     def is_candidate(line: Column) -> Column:
-        # Substring tests are far cheaper than an alternation of twelve words.
-        low = F.lower(line)
-        named = reduce(lambda a, b: a | b, [low.contains(w) for w in SECTION_WORDS])
-        return named & (F.regexp_count(strip(line), F.lit(rf"[{SPACE}]+")) + 1 < 10)
+        # Substring tests are far cheaper than an alternation of twelve words, and no
+        # line shorter than the shortest word has one.
+        def named(low: Column) -> Column:
+            return reduce(lambda a, b: a | b, [low.contains(w) for w in SECTION_WORDS])
+
+        short = min(map(len, SECTION_WORDS))
+        return (
+            (F.length(line) >= short)
+            & let(F.lower(line), named)
+            & (F.regexp_count(strip(line), F.lit(rf"[{SPACE}]+")) + 1 < 10)
+        )
 
     def flags(lines: Column) -> Column:
         # One letter per line. A candidate right after a header is content, and
@@ -318,13 +335,15 @@ def section_map(text: Column) -> Column:
     )
 
 
-def document_structure(text: Column) -> Column:
-    """Everything above as one struct."""
-    return F.struct(
-        entities(text).alias("entities"),
-        dates(text).alias("dates"),
-        section_map(text).alias("sections"),
-        tables(text).alias("tables"),
-        keywords(text).alias("keywords"),
-        doc_metadata(text).alias("metadata"),
-    )
+def document_structure(text: Column, parts: Sequence[str] | None = None) -> Column:
+    """Everything above as one struct, or the named parts of it: Spark computes a struct
+    whole, whichever of its fields are read."""
+    known = {
+        "entities": entities,
+        "dates": dates,
+        "sections": section_map,
+        "tables": tables,
+        "keywords": keywords,
+        "metadata": doc_metadata,
+    }
+    return F.struct(*[fn(text).alias(name) for name, fn in known.items() if parts is None or name in parts])

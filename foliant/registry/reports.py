@@ -2,20 +2,30 @@
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliant.registry.base import table, texts
+from foliant.registry.base import table
 
+# Reports of a task: the work on a report costs far more than its bytes let a join expect.
+ROWS_PER_TASK = 25_000
 _MONTHS = "January February March April May June July August September October November December"
 
 
 def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, text: one report per order with sections, dates, amounts and a table."""
-    orders = texts(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")
+    every = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")
+    # Both sides are dealt by the join's key into parts of their own number, which are not merged
+    # again by size; neither the grouping nor the join then needs another shuffle.
+    parts = max(spark.sparkContext.defaultParallelism, ceil(every.count() / ROWS_PER_TASK))
+    orders = every.repartition(parts, "o_orderkey")
     items = (
         table(spark, sf_dir, "lineitem")
-        .groupBy(F.col("l_orderkey").alias("o_orderkey"))
+        .select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_partkey")
+        .repartition(parts, "o_orderkey")
+        .groupBy("o_orderkey")
         .agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey"))).alias("items"))
     )
     key = F.col("o_orderkey").cast("string")
@@ -38,7 +48,7 @@ def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("Total $"), F.floor("o_totalprice").cast("string"), F.lit(" at "), (F.col("o_orderkey") % 100).cast("string"), F.lit("%")),
         F.lit("Results"),
     )
-    return orders.join(items, "o_orderkey", "left").select(
+    return orders.join(items.hint("shuffle_hash"), "o_orderkey", "left").select(
         F.col("o_orderkey").alias("doc_id"),
         F.array_join(F.concat(head, rows, F.array(F.lit("End"))), "\n").alias("text"),
     )

@@ -484,6 +484,7 @@ for _name, _fn in (
 ):
     _over_texts(_name, _fn)
 
+_COUNTED = ("sections", "dates", "tables", "metadata")
 _SECTIONS_CTE = ORACLES["X3_sections"].split("SELECT doc_id, section, max_by")[0].split(f"{REPORTS_SQL},")[1]
 
 
@@ -508,7 +509,7 @@ _SECTIONS_CTE = ORACLES["X3_sections"].split("SELECT doc_id, section, max_by")[0
 def structure_counts(spark, sf_dir):
     docs = texts(spark, sf_dir, "documents").select("doc_id", "text")
     both = docs.union(reports(spark, sf_dir).select(-1 - F.col("doc_id"), "text"))
-    found = both.select("doc_id", S.document_structure(F.col("text")).alias("s"))
+    found = both.select("doc_id", S.document_structure(F.col("text"), _COUNTED).alias("s"))
     return found.select(
         "doc_id",
         F.size("s.sections").alias("sections"),

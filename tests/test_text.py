@@ -160,3 +160,34 @@ def test_a_large_dictionary_of_lemmas_in_the_plan(spark):
     df = spark.createDataFrame([("wörd7 wörd2999 tree",)], "text string")
     got = df.select(T.clean_text(F.col("text"), lemmas=lemmas, remove_numbers=False).alias("t")).first().t
     assert got == "base7 base2999 tree"
+
+
+def test_marks_in_texts_with_dates(spark):
+    from foliant.functions import structure as S
+
+    text = "\x01a 2020-02-29\x01 2021-02-29 31/12/2020\x01, 12/31/2020 May 3, 2021x mAy 3, 2021 12-13-2001"
+    found = spark.createDataFrame([(text,)], ["t"]).select(F.inline(S.dates(F.col("t")))).collect()
+    assert [(r.format, r.text, r.date[:10]) for r in found] == [
+        ("iso", "2020-02-29", "2020-02-29"), ("slash", "31/12/2020", "2020-12-31"),
+        ("slash", "12/31/2020", "2020-12-31"), ("dash", "12-13-2001", "2001-12-13"),
+        ("month_name", "mAy 3, 2021", "2021-05-03")]
+    assert all(text[r.position :].startswith(r.text) for r in found)
+
+
+def test_reports_are_spread_over_the_cores(spark, sf_dir):
+    from foliant.registry.reports import reports
+
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.parallelismFirst")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+    try:
+        parts = reports(spark, sf_dir).rdd.getNumPartitions()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", before)
+    assert parts >= spark.sparkContext.defaultParallelism
+
+
+def test_structure_counts_compute_only_what_they_count(spark, sf_dir):
+    import __spark_entry__ as entry
+
+    plan = entry.queries()["X7_structure_counts"](spark, sf_dir)._jdf.queryExecution().toString()
+    assert "email" not in plan and "Punct" not in plan
