@@ -127,3 +127,22 @@ def test_unmatched(spark):
     a = spark.createDataFrame([(1,), (2,)], "doc_id long")
     b = spark.createDataFrame([(2,), (3,)], "doc_id long")
     assert {tuple(r) for r in unmatched(a, b, "doc_id").collect()} == {(1, "left"), (3, "right")}
+
+
+def test_products_of_sparse_rows_add_no_element_one_by_one(monkeypatch):
+    from foliant.operators import reduction as R
+
+    class Add:
+        reduceat = staticmethod(np.add.reduceat)
+
+    rng = np.random.default_rng(4)
+    indices, values = rng.integers(0, 7, 40), rng.random(40)
+    row_of = np.sort(rng.choice([0, 2, 3, 5], 40))  # rows 1 and 4 have no value
+    basis = rng.random((7, 3))
+    monkeypatch.setattr(R.np, "add", Add)
+    got = R._times(indices, values, row_of, 6, basis)
+    dense = np.zeros((6, 7))
+    for i, v, r in zip(indices, values, row_of, strict=True):
+        dense[r, i] = dense[r, i] + v
+    assert np.allclose(got, dense @ basis)
+    assert R._times(indices[:0], values[:0], row_of[:0], 2, basis).tolist() == [[0.0] * 3] * 2
