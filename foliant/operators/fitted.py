@@ -154,11 +154,11 @@ class TreeClassifier(FittedStage):
             "nodes": spark.createDataFrame(nodes, schema),
             "cuts": spark.createDataFrame(cuts, "feature int, cuts array<double>"),
         }
-        return cls(tables, {"classes": model.classes, "losses": model.losses, "col": col})
+        return cls(tables, {"classes": model.classes, "losses": model.losses, "start": model.start, "col": col})
 
     def model(self) -> SoftmaxTrees:
         cuts = np.array([r["cuts"] for r in self.tables["cuts"].orderBy("feature").collect()])
-        out = SoftmaxTrees(cuts, self.detail["classes"], [], self.detail["losses"])
+        out = SoftmaxTrees(cuts, self.detail["classes"], [], self.detail["losses"], self.detail.get("start"))
         rows = self.tables["nodes"].orderBy("round", "class", "node").toPandas()
         for _, trees in rows.groupby("round"):
             found = [g for _, g in trees.groupby("class")]

@@ -139,3 +139,11 @@ def test_cross_validation_fits_an_svm_once_a_fold(encoded, monkeypatch):
     monkeypatch.setattr(C, "fit_calibrated", refuse)
     scores = C.cross_validate(encoded, "svm", 2).collect()
     assert sorted(r.fold for r in scores) == [0, 1]
+
+
+def test_gradient_boosting_is_one_model_of_all_classes(encoded):
+    """Sparse rows and one tree per class and round, not a dense fit for each class."""
+    vocabulary, vectors = C.vectorize_split(C.stratified_split(encoded, 0.2))
+    model = C.train(vectors, "gradient_boosting", maxIter=2, maxDepth=2).model
+    assert isinstance(model, C.SoftmaxTrees) and [len(trees) for trees in model.rounds] == [3, 3]
+    assert all(len(t.feature) == 7 for trees in model.rounds for t in trees)
