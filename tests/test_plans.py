@@ -108,3 +108,18 @@ def test_lemma_join_survives_a_large_dictionary(spark, monkeypatch):
     lemmas = spark.createDataFrame([("cats", "cat"), ("dogs", "dog"), ("x", "y")], "surface string, lemma string")
     got = clean_documents(df, lemmas).collect()
     assert len(got) == 5 and {r.cleaned_text for r in got} == {" ".join(["cat chase mice"] * 3)}
+
+
+def test_processing_computes_the_parts_that_are_read(spark, sf_dir):
+    """The result of X8 has the line count alone; a struct is computed whole."""
+    import __spark_entry__ as entry
+    from foliant.plans.process import process_documents
+    from foliant.registry.text_queries import loaded_documents
+
+    query = entry.queries()["X8_process_document"](spark, sf_dir)
+    plan = query._jdf.queryExecution().optimizedPlan().toString()
+    assert "line_count" in plan and "executive summary" not in plan and "keywords" not in plan
+    every = process_documents(loaded_documents(spark, sf_dir))
+    assert every.schema["structure"].dataType.names == ["entities", "dates", "sections", "tables", "keywords", "metadata"]
+    lines = every.select("doc_id", "structure.metadata.line_count")
+    assert lines.exceptAll(query.select("doc_id", "line_count")).isEmpty()
