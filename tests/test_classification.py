@@ -147,3 +147,15 @@ def test_gradient_boosting_is_one_model_of_all_classes(encoded):
     model = C.train(vectors, "gradient_boosting", maxIter=2, maxDepth=2).model
     assert isinstance(model, C.SoftmaxTrees) and [len(trees) for trees in model.rounds] == [3, 3]
     assert all(len(t.feature) == 7 for trees in model.rounds for t in trees)
+
+
+@pytest.mark.parametrize("name", ["svm", "logistic_regression"])
+def test_linear_solvers_take_large_partitions(spark, encoded, monkeypatch, name):
+    """A step of theirs is a job over every partition; 6,048 rows are too few to deal out."""
+    seen = []
+    monkeypatch.setattr(C, "durable", lambda df: seen.append(df.rdd.getNumPartitions()) or df)
+    _, vectors = C.vectorize_split(C.stratified_split(encoded, 0.2))
+    many = vectors.crossJoin(spark.range(84)).withColumn("doc_id", F.xxhash64("doc_id", "id"))
+    seen.clear()
+    C.train(many.drop("id"), name, calibrated=False, maxIter=1)
+    assert seen == [1]
