@@ -123,3 +123,13 @@ def test_processing_computes_the_parts_that_are_read(spark, sf_dir):
     assert every.schema["structure"].dataType.names == ["entities", "dates", "sections", "tables", "keywords", "metadata"]
     lines = every.select("doc_id", "structure.metadata.line_count")
     assert lines.exceptAll(query.select("doc_id", "line_count")).isEmpty()
+
+
+def test_the_silhouette_copies_no_vectors(spark):
+    """Blocks meet where they are stored: only sums of distances are shuffled."""
+    from foliant.operators import cluster_metrics as Q
+
+    rows = [(i, [float(i % 7), float(i)], i % 3) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, embedding array<double>, cluster int")
+    text = plan(Q.silhouette_samples(df, block_rows=40))
+    assert "CartesianProduct" in text and not re.search(r"hashpartitioning\(a#", text)
