@@ -45,6 +45,9 @@ DATE_PATTERNS = [
     ("month_name", rf"(?i)(?:{_MONTHS}) [0-9]{{1,2}},? [0-9]{{4}}"),
 ]
 
+# Of the longest date, "september 30, 2000".
+_DATE_LENGTH = 18
+
 _DATES_TYPE = "array<struct<text:string,date:string,position:int,format:string>>"
 
 # Words that mark a section header line.
@@ -145,43 +148,70 @@ def _parse_date(name: str, found: Column) -> Column:
     return let(F.split(found, " "), numbers)
 
 
-def _dates_of(text: Column, name: str, pattern: str) -> Column:
-    """``text`` holds no U+0001, which marks the matches."""
+def _date_starts() -> str:
+    """Matches nothing wide at the start of every date. Two dates never start at one place, and none
+    inside another of its own format, so that one search finds what a search per format would."""
     # The first character is tested before the look behind it, which costs far more.
-    first = "[jfmasondJFMASOND]" if name == "month_name" else "[0-9]"
-    regex = rf"(?={first}){_OPEN}{pattern}{_CLOSE}"
+    ahead = "|".join(rf"(?={pattern.replace('(?i)', '')}{_CLOSE})" for _, pattern in DATE_PATTERNS)
+    return rf"(?=[0-9jfmasondJFMASOND]){_OPEN}(?i:{ahead})"
+
+
+def _date_row(piece: Column, position: Column) -> Column:
+    """The date a piece of text starts with; the formats differ in their third or fifth character."""
+    third, fifth = F.substring(piece, 3, 1), F.substring(piece, 5, 1)
+    number = F.substring(piece, 1, 10)
+    month = F.regexp_extract(piece, rf"^{dict(DATE_PATTERNS)['month_name']}{_CLOSE}", 0)
+
+    def row(name: str, found: Column) -> Column:
+        return let(
+            found,
+            lambda m: F.struct(
+                m.alias("text"), _parse_date(name, m).alias("date"), position.alias("position"), F.lit(name).alias("format")
+            ),
+        )
+
+    return (
+        F.when(fifth == "-", row("iso", number))
+        .when(third == "/", row("slash", number))
+        .when(third == "-", row("dash", number))
+        .otherwise(row("month_name", month))
+    )
+
+
+def dates(text: Column) -> Column:
+    """array<struct<text, date, position, format>>, by pattern, then position."""
 
     def located(pieces: Column) -> Column:
-        # Gaps and matches take turns: their running length gives every offset.
+        # The running length of the pieces gives every offset.
         def rows(starts: Column) -> Column:
             return F.transform(
-                F.sequence(F.lit(1), F.size(pieces) - 2, F.lit(2)),
-                lambda i: F.struct(
-                    F.get(pieces, i).alias("text"),
-                    let(F.get(pieces, i), lambda m: _parse_date(name, m)).alias("date"),
-                    F.get(starts, i).alias("position"),
-                    F.lit(name).alias("format"),
-                ),
+                F.sequence(F.lit(1), F.size(pieces) - 1),
+                lambda i: let(whole(i), lambda p: _date_row(p, F.get(starts, i))),
             )
 
-        lengths = F.transform(pieces, lambda p: F.length(p))
-        return F.filter(let(prefix_sums(lengths), rows), lambda r: r["date"].isNotNull())
+        def whole(i: Column) -> Column:
+            # A date of another format may start inside this one: then its end is in later pieces.
+            most = F.lit(_DATE_LENGTH + 1)
+            return let(
+                F.get(pieces, i),
+                lambda p: F.when(F.length(p) >= most, p).otherwise(F.array_join(F.slice(pieces, i + 1, most), "")),
+            )
 
-    # One search marks both ends of every match, and a plain split takes the text apart.
-    # The common case, a text without dates, never reaches the offset work.
-    return let(
-        F.split(F.regexp_replace(text, regex, "\x01$0\x01"), "\x01", -1),
-        lambda pieces: F.when(F.size(pieces) > 1, located(pieces)).otherwise(
-            F.array().cast(_DATES_TYPE)
-        ),
-    )
+        def of(found: Column, name: str) -> Column:
+            return F.filter(found, lambda r: (r["format"] == name) & r["date"].isNotNull())
 
+        def by_format(found: Column) -> Column:
+            return F.concat(*[of(found, name) for name, _ in DATE_PATTERNS])
 
-def dates(text: Column) -> Column:
-    """array<struct<text, date, position, format>>, by pattern, then position."""
+        lengths = F.transform(pieces, lambda p: F.length(p))
+        return let(let(prefix_sums(lengths), rows), by_format)
+
+    # The text holds no U+0001 then, which marks the starts, and a plain split takes it apart.
+    # The common case, a text without dates, never reaches the offset work.
+    marked = F.regexp_replace(F.replace(text, F.lit("\x01"), F.lit("\x02")), _date_starts(), "\x01")
     found = let(
-        F.replace(text, F.lit("\x01"), F.lit("\x02")),
-        lambda t: F.concat(*[_dates_of(t, name, pattern) for name, pattern in DATE_PATTERNS]),
+        F.split(marked, "\x01", -1),
+        lambda pieces: F.when(F.size(pieces) > 1, located(pieces)).otherwise(F.array().cast(_DATES_TYPE)),
     )
     return F.when(text.rlike("[0-9]{4}"), found).otherwise(F.array().cast(_DATES_TYPE))
 

@@ -133,3 +133,8 @@ def test_the_silhouette_copies_no_vectors(spark):
     df = spark.createDataFrame(rows, "id long, embedding array<double>, cluster int")
     text = plan(Q.silhouette_samples(df, block_rows=40))
     assert "CartesianProduct" in text and not re.search(r"hashpartitioning\(a#", text)
+
+
+def test_dates_are_found_in_one_search(docs):
+    text = plan(docs.select(S.dates(F.col("text"))))
+    assert text.count("regexp_replace(") <= 2 and "Exchange" not in text  # the operator, and its line in the list

@@ -191,3 +191,15 @@ def test_structure_counts_compute_only_what_they_count(spark, sf_dir):
 
     plan = entry.queries()["X7_structure_counts"](spark, sf_dir)._jdf.queryExecution().toString()
     assert "email" not in plan and "Punct" not in plan
+
+
+def test_dates_of_two_formats_may_overlap(spark):
+    from foliant.functions import structure as S
+
+    rows = [("due May 1, 2020-01-02-2021 or 03/04/2020", ), ("2020-02-30 31-12-1999", )]
+    df = spark.createDataFrame(rows, "text string").select(S.dates(F.col("text")).alias("d"))
+    got = [[(r.format, r.text, r.position) for r in x.d] for x in df.collect()]
+    assert got == [
+        [("iso", "2020-01-02", 11), ("slash", "03/04/2020", 30), ("dash", "01-02-2021", 16), ("month_name", "May 1, 2020", 4)],
+        [("dash", "31-12-1999", 11)],
+    ]
